@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillstone.operators import heavy_keys, profile, references, schema_drift
+from rillstone.operators import heavy_keys, profile, references, schema_drift, spatial
 from rillstone.sources.tables import table
 from rillstone.storage import Workspace
 
@@ -197,3 +197,11 @@ left join (select id, count(*) n_entries, count(distinct u) n_distinct, min(u) m
 def p6_atoms(spark: SparkSession, d: str) -> DataFrame:
     g = table(spark, d, "graph_arrow", "id", "upstream_ids")
     return heavy_keys.key_summary(g, "id", "upstream_ids").withColumnRenamed("key", "id")
+
+
+# ---- p4: near and inside --------------------------------------------------------------------------------------------
+
+
+@query()
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return spatial.near_and_inside(table(spark, d, "snap", "id", "geometry"), table(spark, d, "catchments", "id", "geometry"), 50.0)
