@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillstone.operators import heavy_keys, profile, references, schema_drift, spatial
+from rillstone.operators import heavy_keys, hierarchy, profile, references, schema_drift, spatial
 from rillstone.sources.tables import table
 from rillstone.storage import Workspace
 
@@ -205,3 +205,64 @@ def p6_atoms(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return spatial.near_and_inside(table(spark, d, "snap", "id", "geometry"), table(spark, d, "catchments", "id", "geometry"), 50.0)
+
+
+# ---- p5: hierarchies ------------------------------------------------------------------------------------------------
+
+
+def _hierarchy(spark: SparkSession, d: str) -> hierarchy.Hierarchy:
+    return hierarchy.build(table(spark, d, "graph_arrow", "id", "upstream_ids"))
+
+
+_P5 = """
+with recursive n as (select distinct id from graph_arrow where id is not null),
+e as (select distinct u, v from (select unnest(upstream_ids) u, id v from graph_arrow where id is not null) where u in (select id from n)),
+roots as (select id from n where id not in (select u from e)),
+"""
+
+
+@query(
+    _P5
+    + """p(atom_id, root_id, steps) using key (atom_id, root_id) as (
+  select id, id, cast(0 as bigint) from roots
+  union
+  select e.u, p.root_id, min(p.steps) + 1 from p join e on e.v = p.atom_id
+  where not exists (select 1 from recurring.p q where q.atom_id = e.u and q.root_id = p.root_id) group by 1, 2),
+core as (select u, v from e where u in (select v from e) and v in (select u from e)),
+reach(a, b) as (select u, v from core union select r.a, c.v from reach r join core c on c.u = r.b),
+onc as (select distinct a from reach where a = b),
+scc as (select x.a, y.a b from onc x join reach r on r.a = x.a join onc y on y.a = r.b join reach s on s.a = y.a and s.b = x.a)
+select 'path' kind, atom_id, root_id, steps from p
+union all select 'cycle', a, min(b), count(distinct b) from (select a, b from scc union select u, v from e where u = v) group by a"""
+)
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    h = _hierarchy(spark, d)
+    return hierarchy.outlets(h).select(F.lit("path").alias("kind"), "atom_id", "root_id", "steps").unionByName(hierarchy.cycles(h).select(F.lit("cycle").alias("kind"), "atom_id", "root_id", "steps"))
+
+
+_P5_TREE = (
+    _P5
+    + """dn as (select u, count(*) n, min(v) v from e where u <> v group by u),
+f as (select u id, v parent from dn where n = 1),
+up(id, top) as (select id, id from n where id not in (select id from f) union all select f.id, up.top from up join f on f.parent = up.id),
+anc(id, a) as (select id, parent from f union select anc.id, f.parent from anc join f on f.id = anc.a),
+"""
+)
+
+
+@query(_P5_TREE + "x as (select 1) select a.a query_id, a.id from anc a where a.a % 50 = 0 and a.id in (select id from up)")
+def p5_descendants(spark: SparkSession, d: str) -> DataFrame:
+    h = _hierarchy(spark, d)
+    return hierarchy.descendants(h, h.atoms.where("id % 50 = 0").select("id"))
+
+
+@query(_P5_TREE + "x as (select 1) select a.id query_id, a.a id from anc a where a.id % 50 = 0 and a.id in (select id from up) union all select id, id from up where id % 50 = 0")
+def p5_way_down(spark: SparkSession, d: str) -> DataFrame:
+    h = _hierarchy(spark, d)
+    q = h.atoms.where("id % 50 = 0 and top is not null").select(F.col("id").alias("tag"), "top", F.col("lft").alias("at"))
+    return hierarchy.ancestors(h, q).select(F.col("tag").alias("query_id"), "id")
+
+
+@query()
+def p5_nested_sets(spark: SparkSession, d: str) -> DataFrame:
+    return _hierarchy(spark, d).atoms
