@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rillstone.llm import mixing, packing
+from rillstone.llm import abuse, mixing, packing
 from rillstone.sources.tables import table
 
 QUERIES: dict = {}
@@ -38,3 +38,24 @@ def p8_copies(spark: SparkSession, d: str) -> DataFrame:
 @query
 def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return _mix(spark, d)[1]
+
+
+def _scored(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents", "doc_id", "source", "text")
+    model = abuse.fit(abuse.labelled_texts(docs, table(spark, d, "content_labels", "doc_id", "verdict")))
+    return abuse.score(docs, model, ["doc_id", "source"])
+
+
+@query
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return abuse.kinds(_scored(spark, d))
+
+
+@query
+def p9_scores(spark: SparkSession, d: str) -> DataFrame:
+    return _scored(spark, d)
+
+
+@query
+def p9_rates(spark: SparkSession, d: str) -> DataFrame:
+    return abuse.rates(_scored(spark, d))
