@@ -31,7 +31,7 @@ DIM, BUCKETS, MIN_N, MAX_N = 24, 1 << 17, 3, 5
 EPOCHS, BATCH, RATE = (4, 3, 4), 1024, 0.3
 #: Updates that a round of training has at least, on few sentences with more epochs. A sentence may be what makes a
 #: document positive if clean documents have it at most SLIP times as often as positive ones.
-MIN_UPDATES, SLIP = 150, 0.5
+MIN_UPDATES, SLIP = 150, 0.2
 THRESHOLD = 0.5
 
 #: Look-alike signs and the letters they stand for inside a word.
@@ -79,7 +79,7 @@ class Words:
         joined = "\x00".join([(t or "").replace("\x00", " ") for t in texts]) + "\x00"
         tokens = _TOKEN.findall(joined)
         raw = self.raw
-        for t in set(tokens).difference(raw):
+        for t in sorted(set(tokens).difference(raw)):
             w = plain(t)
             if w not in self.number:
                 self.number[w] = len(self.words)
