@@ -285,7 +285,7 @@ def fit(labelled: list[tuple[str, set]]) -> Model | None:
     share = np.array([np.bincount(rows, kind_of[cols, c] / fresh[cols], n) for c in range(len(KINDS))]).T
     target, weight = np.zeros((n, len(KINDS))), np.zeros(n)
     target[:, 0] = 1
-    weight[~candidate] = np.minimum(seen[~candidate, 0], 3)
+    weight[~candidate] = np.minimum(seen[~candidate, 0], 10)
     total = np.maximum(share[candidate].sum(axis=1), 1e-9)
     target[candidate] = share[candidate] / total[:, None]
     weight[candidate] = np.minimum(total, 3)
@@ -300,8 +300,8 @@ def fit(labelled: list[tuple[str, set]]) -> Model | None:
         p = net.predict(data)
         # sentences of clean documents stay none; what scores for a kind all the same is a reviewer's slip
         target[:], target[:, 0] = 0, 1
-        slip = (p[:, 0] < 0.3) & (seen[:, 1:].sum(axis=1) >= seen[:, 0])
-        weight[~candidate] = np.where(slip[~candidate], 0.0, np.minimum(seen[~candidate, 0], 3))
+        slip = (p[:, 0] < 0.3) & (seen[:, 0] <= 1)
+        weight[~candidate] = np.where(slip[~candidate], 0.0, np.minimum(seen[~candidate, 0], 10))
         weight[candidate] = 0.5
         # positive documents: the best candidate for each of its kinds, and others that clearly score for a kind
         best: dict = {}
