@@ -38,8 +38,8 @@ def edges_from_next_down(rivers: DataFrame, key: str = "id", down: str = "next_d
 
 
 def csv_ids(c: Column) -> Column:
-    """Whole numbers of a comma-separated text; blanks dropped, null as empty."""
-    return F.transform(F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), ","), F.trim), lambda x: x != ""), lambda x: x.cast("bigint"))
+    """Whole numbers of a comma-separated text; blanks dropped, null as empty, other text as null."""
+    return F.transform(F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), ","), lambda x: F.trim(x)), lambda x: x != ""), lambda x: x.try_cast("bigint"))
 
 
 def mainstem(children: DataFrame) -> DataFrame:
