@@ -1,0 +1 @@
+"""Row checks and orphan references on tables as they arrive."""
