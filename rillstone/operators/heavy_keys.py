@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 def heavy(df: DataFrame, key: str, share: float) -> DataFrame:
     """key, n, n_total: the keys with at least `share` of all rows of df."""
     counts = df.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1)).alias("n_total"))
-    return counts.crossJoin(F.broadcast(total)).where((F.col("n_total") > 0) & (F.col("n") >= F.col("n_total") * share) & F.col("key").isNotNull())
+    total = df.agg(F.count(F.lit(1)).alias("n_total")).scalar()
+    return counts.withColumn("n_total", total).where((F.col("n") >= F.col("n_total") * share) & F.col("key").isNotNull())
 
 
 def members(df: DataFrame, key: str, array: str) -> DataFrame:
