@@ -88,7 +88,34 @@ def _drift(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame
     return df, flat, schema_drift.migrations(flat, files)
 
 
-@query()
+_NUM = r"[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?"
+_P2 = rf"""
+with p as (select stream_no s, file_no f, line_no l, payload::json j from deliveries where json_valid(payload) and json_type(payload) = 'OBJECT'),
+kv as (select s, f, l, j->>'$.id' rec, k, json_extract(j, '$."' || k || '"') v from (select *, unnest(json_keys(j)) k from p)),
+t as (select *, case json_type(v) when 'VARCHAR' then 'string' when 'BOOLEAN' then 'boolean' when 'ARRAY' then 'array' when 'OBJECT' then 'object' when 'NULL' then null else 'number' end kind,
+  case when json_type(v) = 'VARCHAR' then v->>'$' else v::varchar end tx from kv),
+b as (select *, regexp_replace(trim(tx), '^\[\s*|\s*\]$', '', 'g') bare from t),
+x as (select s, f, l, rec, k, kind, case when kind is null then null when bare = '' and kind in ('array', 'string') then '#'
+  when kind in ('string', 'number', 'array') and regexp_full_match(bare, '{_NUM}(?:\s*[,;]\s*{_NUM})*') then '#' || array_to_string([try_cast(trim(y) as double)::varchar for y in regexp_split_to_array(bare, '[,;]')], ',')
+  else kind || tx end val from b),
+files as (select *, lag(f) over w pf, row_number() over w ver from (select distinct stream_no s, file_no f from deliveries) window w as (partition by s order by f)),
+c as (select s, f, k, kind, count(*) n from x group by all),
+own as (select s, f, k, (list(kind order by n desc, kind) filter (kind is not null))[1] kind from c group by s, f, k),
+isl as (select *, ver - row_number() over (partition by s, k order by ver) isl from own join files using (s, f)),
+fp as (select s, f, pf, k, last_value(kind ignore nulls) over (partition by s, k, isl order by ver) kind from isl),
+bef as (select n.s, n.f, o.k, o.kind from files n join fp o on o.s = n.s and o.f = n.pf),
+bo as (select coalesce(a.s, z.s) s, coalesce(a.f, z.f) f, coalesce(a.k, z.k) k, a.kind nk, z.kind ok, case when z.k is null then 'new' when a.k is null then 'gone' else 'kept' end ch
+  from (select * from fp where pf is not null) a full join bef z on a.s = z.s and a.f = z.f and a.k = z.k),
+one as (select s, f, k, rec, min_by(val, l) val from x where val is not null and rec is not null group by all),
+pr as (select n.s, n.f, g.k old, n.k new, count(*) n, count(*) filter (a.val = z.val) same from bo n join bo g on n.s = g.s and n.f = g.f and n.ch = 'new' and g.ch = 'gone'
+  join files on files.s = n.s and files.f = n.f join one a on a.s = n.s and a.f = n.f and a.k = n.k join one z on z.s = n.s and z.f = files.pf and z.k = g.k and z.rec = a.rec group by n.s, n.f, g.k, n.k having 2 * count(*) filter (a.val = z.val) > count(*)),
+rk as (select *, row_number() over (partition by s, f, new order by same / n desc, same desc, old) r1, row_number() over (partition by s, f, old order by same / n desc, same desc, new) r2 from pr),
+rn as (select * from rk where r1 = 1 and r2 = 1),
+j as (select bo.*, a.old came, z.new went, fk.kind fk from bo left join rn a on a.s = bo.s and a.f = bo.f and a.new = bo.k and bo.ch = 'new' left join rn z on z.s = bo.s and z.f = bo.f and z.old = bo.k and bo.ch = 'gone' left join bef fk on fk.s = bo.s and fk.f = bo.f and fk.k = a.old)
+select f file_no, k field_name, unnest(list_filter([case when came is not null then 'renamed' end, case when ch = 'new' and came is null then 'added' end, case when ch = 'gone' and went is null then 'removed' end, case when nk <> coalesce(ok, fk) then 'retyped' end], lambda q: q is not null)) change_kind from j"""
+
+
+@query(_P2)
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     _, _, steps = _drift(spark, d)
     return steps.select(F.col("file").alias("file_no"), "field_name", "change_kind")
