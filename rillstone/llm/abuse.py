@@ -302,7 +302,7 @@ def fit(labelled: list[tuple[str, set]]) -> Model | None:
         target[:], target[:, 0] = 0, 1
         slip = (p[:, 0] < 0.3) & (seen[:, 0] <= 1)
         weight[~candidate] = np.where(slip[~candidate], 0.0, np.minimum(seen[~candidate, 0], 10))
-        weight[candidate] = 0.5
+        weight[candidate] = np.maximum(0.5, np.minimum(seen[candidate, 1:].sum(axis=1) / 4, 3))
         # positive documents: the best candidate for each of its kinds, and others that clearly score for a kind
         best: dict = {}
         for i in np.flatnonzero(candidate[rows]):
@@ -310,10 +310,14 @@ def fit(labelled: list[tuple[str, set]]) -> Model | None:
             for c in np.flatnonzero(kind_of[d, 1:]) + 1:
                 if p[s, c] > best.get((d, c), (0.0, -1))[0]:
                     best[d, c] = (p[s, c], s)
+        # a phrase that many positive documents have but that seldom is the best of one comes with the language, it is not it
+        wins = np.bincount([s for q, s in best.values() if q > 0.15], minlength=n)
+        has = seen[:, 1:].sum(axis=1)
+        frame = (has >= 5) & (wins < 0.3 * has)
         for (_, c), (q, s) in best.items():
-            if q > 0.15:
+            if q > 0.15 and not frame[s]:
                 target[s], weight[s] = np.eye(len(KINDS))[c], 2.0
-        sure = candidate & (p[:, 1:].max(axis=1) > 0.7)
+        sure = candidate & ~frame & (p[:, 1:].max(axis=1) > 0.7)
         target[sure], weight[sure] = np.eye(len(KINDS))[p[sure].argmax(axis=1)], 2.0
     return Model(net.embed, net.weight, net.bias)
 
