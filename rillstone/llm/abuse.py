@@ -21,11 +21,13 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rillstone.storage import Workspace
+
 KINDS = ("none", "abuse", "hate", "sexual")
-#: Labelled documents that the classifier is fitted on, at most; all that are positive before those that are not.
+#: Labelled documents that the classifier is fitted on, at most; every kind and none have an equal part of them.
 MAX_LABELLED = 5000
 DIM, BUCKETS, MIN_N, MAX_N = 24, 1 << 17, 3, 5
 EPOCHS, BATCH, RATE = (4, 3, 4), 1024, 0.3
@@ -326,13 +328,22 @@ def fit(labelled: list[tuple[str, set]]) -> Model | None:
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", verdict: str = "verdict", most: int = MAX_LABELLED) -> list[tuple[str, set]]:
-    """A bounded sample for fit: documents with a positive kind first, by hash within. A kind holds where more reviewers
-    named it than none; documents whose reviewers disagree otherwise are left out, as are unknown verdicts."""
+    """A bounded sample for fit: each of none, abuse, hate and sexual has an equal quota of documents, by hash, and what
+    one leaves unused the others share. A kind holds where more reviewers named it than none; documents whose reviewers
+    disagree otherwise are left out, as are unknown verdicts."""
     v = F.lower(F.trim(F.col(verdict)))
     votes = labels.select(F.col(key), v.alias("v")).where(F.col("v").isin(*KINDS)).groupBy(key).agg(*[F.count_if(F.col("v") == k).alias(f"n_{k}") for k in KINDS])
     kinds = F.array_compact(F.array(*[F.when(F.col(f"n_{k}") > F.col("n_none"), k) for k in KINDS[1:]]))
     voted = votes.select(key, kinds.alias("kinds"), (F.col("n_none") == sum((F.col(f"n_{k}") for k in KINDS[1:]), F.col("n_none"))).alias("clean")).where("clean or size(kinds) > 0")
-    chosen = voted.join(docs.where(F.length(text) > 0).select(key), key, "left_semi").orderBy("clean", F.xxhash64(key), key).limit(most)
+    usable = Workspace(docs.sparkSession, "labelled").cut(voted.join(docs.where(F.length(text) > 0).select(key), key, "left_semi").select(key, "kinds", F.xxhash64(key).alias("h")))
+    # by turns: the first of each kind, the second of each, and so on; a document of several kinds counts where it comes first
+    firsts = None
+    for k in KINDS:
+        mine = usable.where("size(kinds) = 0" if k == "none" else F.array_contains("kinds", k)).orderBy("h", key).limit(most)
+        mine = mine.withColumn("turn", F.row_number().over(Window.partitionBy(F.lit(k)).orderBy("h", key)))  # of at most `most` rows
+        firsts = mine if firsts is None else firsts.unionByName(mine)
+    turns = firsts.groupBy(key).agg(F.first("kinds").alias("kinds"), F.min("turn").alias("turn"), F.first("h").alias("h"))
+    chosen = turns.orderBy("turn", F.size("kinds") == 0, "h", key).limit(most).select(key, "kinds")
     found = docs.select(key, text).join(F.broadcast(chosen), key).where(F.length(text) > 0).orderBy(F.xxhash64(key), key, text)  # at most MAX_LABELLED rows
     return [(r[1], set(r[2])) for r in found.select(key, text, "kinds").collect()]
 

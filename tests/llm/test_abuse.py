@@ -58,3 +58,22 @@ def test_votes(spark):
     labels = spark.createDataFrame(votes, "doc_id long, verdict string")
     got = {t: k for t, k in abuse.labelled_texts(docs, labels)}
     assert got == {"text 1": {"abuse"}, "text 2": set(), "text 5": {"hate", "sexual"}, "text 6": set()}
+
+
+def test_more_positive_documents_than_the_bound(spark):
+    texts = [(i, t, k) for i, (t, k) in enumerate(sample(400, 4))]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in texts], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, next(iter(k), "none")) for i, _, k in texts], "doc_id long, verdict string")
+    n = {k: sum((next(iter(kinds), "none")) == k for _, _, kinds in texts) for k in abuse.KINDS}
+    most = 120
+    assert sum(n[k] for k in abuse.KINDS[1:]) > most and min(n.values()) > most // 4
+    got = abuse.labelled_texts(docs, labels, most=most)
+    assert len(got) == most and {k: sum(next(iter(kinds), "none") == k for _, kinds in got) for k in abuse.KINDS} == dict.fromkeys(abuse.KINDS, most // 4)
+    m = abuse.fit(got)
+    assert m is not None and {r.kind for r in abuse.kinds(abuse.score(docs, m, ["doc_id"])).collect()} == set(abuse.KINDS[1:])
+    # what a kind leaves unused goes to the others
+    few = labels.where("verdict <> 'hate' or doc_id < 40")
+    left = n["hate"] - sum(1 for i, _, k in texts if k == {"hate"} and i >= 40)
+    got = abuse.labelled_texts(docs, few, most=most)
+    parts = [sum(next(iter(kinds), "none") == k for _, kinds in got) for k in abuse.KINDS if k != "hate"]
+    assert len(got) == most and left < most // 4 and sum(parts) == most - left and max(parts) - min(parts) <= 1
