@@ -2,7 +2,8 @@
 
 Method: each file has a fingerprint (its fields with their types); files follow one another in versions. A change of
 version is an explicit migration step: rename, add, remove or retype of one field. Records are routed into one table
-by chaining the renames of their stream to one name per field, filling absent fields with null and casting.
+by chaining the renames of their stream, file by file, to one name per field, filling absent fields with null and
+casting. Every field has a column, those without a cast as text.
 
 A rename is looked for only among fields that left and fields that came in the same step, and is decided by the values
 of the records that both files hold, joined by id (one value per file, field and id, the first by line).
@@ -15,6 +16,9 @@ a new field comes from at most one old (largest share of equal values, ties by n
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -96,8 +100,9 @@ def migrations(flat: DataFrame, files: DataFrame) -> DataFrame:
 # ---- one table ------------------------------------------------------------------------------------------------------
 
 
-def canonical_names(steps: DataFrame, flat: DataFrame) -> dict[str, str]:
-    """Name to canonical name: names linked by renames are one field; it is called by the name most files use.
+def canonical_names(steps: DataFrame, flat: DataFrame, apart: Collection[str] = ()) -> dict[str, str]:
+    """Name to canonical name: names linked by renames are one field; it is called by the name most files use. Names in
+    apart are fields of their own: a rename that would make two of them one does not link them.
 
     Only field names come to the driver, never records.
     """
@@ -111,14 +116,45 @@ def canonical_names(steps: DataFrame, flat: DataFrame) -> dict[str, str]:
             x = parent[x]
         return x
 
+    own = {f: f for f in apart}  # of a group, its name in apart
     for a, b in sorted(links):
         a, b = top(a), top(b)
-        if a != b:
+        if a != b and not (a in own and b in own):
             keep, lose = (a, b) if (uses.get(a, 0), b) >= (uses.get(b, 0), a) else (b, a)
             parent[lose] = keep
+            if lose in own:
+                own[keep] = own[lose]
     return {f: top(f) for f in uses}
 
 
+def placements(steps: DataFrame, flat: DataFrame, names: dict[str, str]) -> DataFrame:
+    """stream, file, field, column: where each field of each file belongs, its renames followed from file to file.
+
+    A field keeps the column of the name it began with in its stream. Where two fields of a file claim one column, the
+    one that is longer in the stream has it (ties: the one of that name, then first by name), the other one's column is
+    also_ and its name.
+    """
+    there = flat.where("stream is not null and file is not null").select("stream", "file", "field").distinct()
+    moved = steps.where("change_kind = 'renamed'").select("stream", "file", F.col("field_name").alias("field"), F.col("old_name").alias("old"))
+    kinds = dict(there.dtypes)
+
+    def follow(part: pd.DataFrame) -> pd.DataFrame:
+        live: dict[str, tuple] = {}  # field: (number of the file it began in, name it began with)
+        rows = []
+        for k, (file, now) in enumerate(part.groupby("file", sort=True)):
+            before, live, taken = live, {}, set()
+            for field, old in zip(now["field"], now["old"]):
+                live[field] = before.get(old) or before.get(field) or (k, field)
+            for field, (_, first) in sorted(live.items(), key=lambda x: (x[1][0], names.get(x[1][1]) != x[0], x[0])):
+                column = names.get(first, first)
+                column = f"also_{field}" if column in taken else column
+                taken.add(column)
+                rows.append((part["stream"].iloc[0], file, field, column))
+        return pd.DataFrame(rows, columns=["stream", "file", "field", "column"])
+
+    return there.join(moved, ["stream", "file", "field"], "left").groupBy("stream").applyInPandas(follow, f"stream {kinds['stream']}, file {kinds['file']}, field string, column string")
+
+
 #: How a field is cast: to a number, a whole number, a flag, a list of numbers or whole numbers, or left as text.
 CASTS = ("double", "bigint", "boolean", "array<double>", "array<bigint>", "string")
 
@@ -139,21 +175,38 @@ def _cast(value: str, to: str) -> str:
     return f"coalesce({text}, to_json({value}))"
 
 
-def one_table(df: DataFrame, names: dict[str, str], casts: dict[str, str], stream: str = "stream_no", file: str = "file_no", line: str = "line_no", payload: str = "payload") -> DataFrame:
-    """stream, file, line, one column per entry of casts, n_lost: every readable record under the canonical names.
+def one_table(df: DataFrame, names: dict[str, str], casts: dict[str, str], stream: str = "stream_no", file: str = "file_no", line: str = "line_no", payload: str = "payload", placed: DataFrame | None = None) -> DataFrame:
+    """stream, file, line, one column per entry of casts and per other canonical name (as text), n_lost: every readable
+    record. An entry of casts stands for all names of its field, whatever the field is called.
 
-    A value that can't be cast is null and counted in n_lost. Absent fields are null. A record that has two names of
-    one field gives the first non-null in order of name.
+    placed (see placements) tells the column of each field of a file; records of files it doesn't name go by names, and
+    one that has two names of one field then gives the first non-null in order of name. Absent fields are null. n_lost
+    counts the non-null values of a record that no column has: those that can't be cast, and those without a place.
     """
-    p = df.select(F.col(stream).alias("stream"), F.col(file).alias("file"), F.col(line).alias("line"), F.try_parse_json(F.col(payload)).alias("v")).where(F.expr("schema_of_variant(v) like 'OBJECT%'"))
-    columns, lost = [], []
+    columns: dict[str, tuple[str, str]] = {}
     for field, to in casts.items():
-        mine = sorted(n for n, c in names.items() if c == field) or [field]
-        raw = "coalesce(" + ", ".join(f"""case when not is_variant_null(try_variant_get(v, '$["{n}"]', 'variant')) then try_variant_get(v, '$["{n}"]', 'variant') end""" for n in mine) + ")"
-        p = p.withColumn(f"raw_{field}", F.expr(raw))
-        columns.append(F.expr(_cast(f"`raw_{field}`", to)).alias(field))
-        lost.append(F.when(F.col(f"raw_{field}").isNotNull() & F.expr(_cast(f"`raw_{field}`", to)).isNull(), 1).otherwise(0))
-    total = lost[0]
-    for x in lost[1:]:
-        total = total + x
-    return p.select("stream", "file", "line", *columns, total.alias("n_lost"))
+        if names.get(field, field) in columns:
+            raise ValueError(f"{field} and {columns[names[field]][0]} are one field")
+        columns[names.get(field, field)] = (field, to)
+    rest = set(names.values())
+    p = df.select(F.col(stream).alias("stream"), F.col(file).alias("file"), F.col(line).alias("line"), F.col(payload).alias("payload"))
+    if placed is None:
+        p = p.withColumn("at", F.lit(None).cast("map<string,string>"))
+    else:
+        rest |= {r[0] for r in placed.select("column").distinct().collect()}  # names only
+        p = p.join(placed.groupBy("stream", "file").agg(F.map_from_entries(F.collect_list(F.struct("column", "field"))).alias("at")), ["stream", "file"], "left")
+    taken = {"stream", "file", "line", "n_lost", *(f.lower() for f in casts)}
+    for column in sorted(rest - set(columns)):
+        out = column
+        while out.lower() in taken:
+            out += "_"
+        taken.add(out.lower())
+        columns[column] = (out, "string")
+    p = p.select("stream", "file", "line", "at", F.try_parse_json("payload").alias("v")).where(F.expr("schema_of_variant(v) like 'OBJECT%'"))
+    p = p.select("stream", "file", "line", "at", F.expr("map_filter(try_variant_get(v, '$', 'map<string,variant>'), (k, x) -> not is_variant_null(x))").alias("m"))
+    mine = {c: sorted(n for n in names if names[n] == c) or [c] for c in columns}
+    get = lambda name: F.try_element_at("m", name)
+    p = p.select("stream", "file", "line", F.size("m").alias("n_values"), *[F.when(F.col("at").isNull(), F.coalesce(*[get(F.lit(n)) for n in mine[c]])).otherwise(get(F.try_element_at("at", F.lit(c)))).alias(f"raw_{k}") for k, c in enumerate(columns)])
+    p = p.select("stream", "file", "line", "n_values", *[F.expr(_cast(f"raw_{k}", to)).alias(f"val_{k}") for k, (_, to) in enumerate(columns.values())])
+    n_placed = F.aggregate(F.array(*[F.col(f"val_{k}").isNotNull().cast("int") for k in range(len(columns))]), F.lit(0), lambda a, x: a + x)
+    return p.select("stream", "file", "line", *[F.col(f"val_{k}").alias(out) for k, (out, _) in enumerate(columns.values())], (F.col("n_values") - n_placed).alias("n_lost"))

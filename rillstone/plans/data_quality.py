@@ -131,8 +131,11 @@ def _unified(spark: SparkSession, d: str, artifact: str, casts: dict[str, str])
     df, flat, steps = _drift(spark, d)
     mine = df.where(F.col("artifact") == artifact)
     streams = mine.select(F.col("stream_no").alias("stream")).distinct()
-    names = schema_drift.canonical_names(steps.join(streams, "stream", "left_semi"), flat.join(streams, "stream", "left_semi"))
-    return schema_drift.one_table(mine, names, casts)
+    space = Workspace(spark, "unified")
+    flat = flat.join(streams, "stream", "left_semi")
+    steps = space.cut(steps.join(streams, "stream", "left_semi"))
+    names = schema_drift.canonical_names(steps, flat, casts)
+    return schema_drift.one_table(mine, names, casts, placed=space.cut(schema_drift.placements(steps, flat, names)))
 
 
 @query()

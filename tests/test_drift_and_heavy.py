@@ -33,6 +33,42 @@ def test_one_table(spark):
     assert sum(r.n_lost for r in t) == 1
 
 
+def test_one_table_keeps_every_value(spark):
+    """A cast's field under another canonical name, fields without a cast, a name that comes back as another field."""
+    files = {
+        (1, 10): ['{"id":1,"remark":"u","n":1}', '{"id":2,"remark":"w","n":2}'],
+        (1, 11): ['{"id":1,"note":"u","n":1}', '{"id":2,"note":"w","n":2,"odd name.x":{"k":1}}'],
+        (1, 12): ['{"id":1,"note":"u","n":1,"remark":"new"}', '{"id":2,"note":"w","n":"?"}'],
+        (2, 20): ['{"id":5,"note":"z","file":"f","N":7}'],
+        (2, 21): ['{"id":5,"note":"z","file":null}'],
+    }
+    df = frame(spark, [(s, "graph", f, k, p, "clash") for (s, f), ps in files.items() for k, p in enumerate(ps)])
+    flat = S.fields(df)
+    steps = S.migrations(flat, S.file_versions(df))
+    casts = {"id": "bigint", "remark": "string", "n": "bigint"}
+    names = S.canonical_names(steps, flat, casts)
+    assert names["remark"] == names["note"] == "note"
+    t = S.one_table(df, names, casts, placed=S.placements(steps, flat, names))
+    got = {(r.file, r.line): r.asDict() for r in t.collect()}
+    assert {k: r["remark"] for k, r in got.items()} == {(10, 0): "u", (10, 1): "w", (11, 0): "u", (11, 1): "w", (12, 0): "u", (12, 1): "w", (20, 0): "z", (21, 0): "z"}
+    assert got[12, 0]["also_remark"] == "new" and got[20, 0]["file_"] == "f" and got[20, 0]["N_"] == "7" and got[11, 1]["odd name.x"] == '{"k":1}'
+    assert {k: r["n_lost"] for k, r in got.items() if r["n_lost"]} == {(12, 1): 1}
+    # without placements the second name of a field has no place, and counts
+    by_name = {(r.file, r.line): r for r in S.one_table(df, names, casts).collect()}
+    assert by_name[12, 0].remark == "u" and by_name[12, 0].n_lost == 1 and by_name[12, 1].n_lost == 1
+
+
+def test_casts_stay_apart(spark):
+    df = frame(spark, [(1, "graph", 10, 0, '{"id":1,"a":7}', "c"), (1, "graph", 11, 0, '{"id":1,"b":7}', "c")])
+    flat = S.fields(df)
+    steps = S.migrations(flat, S.file_versions(df))
+    assert S.canonical_names(steps, flat)["a"] == S.canonical_names(steps, flat)["b"]
+    names = S.canonical_names(steps, flat, ("a", "b"))
+    assert names == {"id": "id", "a": "a", "b": "b"}
+    r = S.one_table(df, names, {"a": "bigint", "b": "bigint"}, placed=S.placements(steps, flat, names)).orderBy("file").collect()
+    assert [(x.a, x.b, x.n_lost) for x in r] == [(7, None, 0), (7, None, 0)]
+
+
 def test_empty_drift(spark):
     df = frame(spark, rows()).limit(0)
     assert S.migrations(S.fields(df), S.file_versions(df)).count() == 0
