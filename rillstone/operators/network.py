@@ -90,6 +90,42 @@ def upstream(h: H.Hierarchy, queries: DataFrame) -> DataFrame:
     return found.unionByName(lost)
 
 
+def all_upstream(h: H.Hierarchy, queries: DataFrame) -> DataFrame:
+    """query_id, id: as upstream, and for atoms that lead into a ring as well all from which they are reached. Rounds
+    follow the logarithm of the number of such atoms."""
+    lost = h.space.cut(h.atoms.where("top is null").select("id", F.col("parent").alias("jump")))
+    found = h.space.cut(queries.select("id").distinct().join(lost.select("id"), "id").select(F.col("id").alias("query_id"), "id"))
+    t = lost
+    for _ in range(lost.count().bit_length()):  # found: fewer than 2^k steps above; jump: the atom 2^k below
+        step = t.join(found.select("query_id", F.col("id").alias("jump")), "jump").select("query_id", "id")
+        found = h.space.cut(found.unionByName(step).distinct())
+        t = h.space.cut(t.join(t.select(F.col("id").alias("jump"), F.col("jump").alias("j2")), "jump").select("id", F.col("j2").alias("jump")))
+    entry = h.space.cut(found.join(h.links.select(F.col("from_id").alias("b"), F.col("to_id").alias("id")), "id").select("query_id", "b").distinct())
+    above = upstream(h, entry.select(F.col("b").alias("id"))).withColumnRenamed("query_id", "b")
+    return upstream(h, queries).unionByName(found).unionByName(entry.join(above, "b").select("query_id", "id")).distinct()
+
+
+def all_downstream(h: H.Hierarchy, queries: DataFrame) -> DataFrame:
+    """query_id, id: every atom on any way down from a queried atom, itself included, once each: through atoms with several
+    downstream atoms on to the outlets, and round the rings. Rounds follow the number of such atoms on a way."""
+    places = h.atoms.select("id", "top", F.col("lft").alias("at"))
+    links = h.space.cut(h.links.select(F.col("from_id").alias("b"), F.col("to_id").alias("id")).join(places, "id"))
+    points = h.space.cut(queries.select("id").distinct().join(places, "id").select(F.col("id").alias("tag"), "id", "top", "at"))
+    front = seen = h.space.cut(points.where("top is not null").select("tag", "top").distinct())
+    while not front.isEmpty():
+        step = h.space.cut(front.select("tag", F.col("top").alias("b")).join(links, "b").select("tag", "id", "top", "at").distinct())
+        points = h.space.cut(points.unionByName(step).distinct())
+        front = h.space.cut(step.where("top is not null").select("tag", "top").distinct().join(seen, ["tag", "top"], "left_anti"))
+        seen = h.space.cut(seen.unionByName(front))
+    t = h.space.cut(h.atoms.where("top is null").select("id", F.col("parent").alias("jump")))
+    found = h.space.cut(points.where("top is null").select("tag", "id"))
+    for _ in range(t.count().bit_length()):
+        found = h.space.cut(found.unionByName(found.join(t, "id").select("tag", F.col("jump").alias("id"))).distinct())
+        t = h.space.cut(t.join(t.select(F.col("id").alias("jump"), F.col("jump").alias("j2")), "jump").select("id", F.col("j2").alias("jump")))
+    below = H.ancestors(h, points.where("top is not null").select("tag", "top", "at"))
+    return below.unionByName(found).distinct().select(F.col("tag").alias("query_id"), "id")
+
+
 def _stab(ranges: DataFrame, points: DataFrame) -> DataFrame:
     """query_id, b: points (b, top, at) that lie in a range (query_id, top, lft, rgt), by dyadic blocks."""
     r = ranges.select("query_id", "top", F.explode(H._cover(F.col("lft"), F.col("rgt"))).alias("c")).select("query_id", "top", "c.level", "c.block")

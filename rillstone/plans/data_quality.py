@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillstone.operators import heavy_keys, hierarchy, profile, references, schema_drift, spatial
+from rillstone.operators import heavy_keys, hierarchy, network, profile, references, schema_drift, spatial
 from rillstone.sources.tables import table
 from rillstone.storage import Workspace
 
@@ -283,14 +283,13 @@ anc(id, a) as (select id, parent from f union select anc.id, f.parent from anc j
 @query(_P5_TREE + "x as (select 1) select a.a query_id, a.id from anc a where a.a % 50 = 0 and a.id in (select id from up)")
 def p5_descendants(spark: SparkSession, d: str) -> DataFrame:
     h = _hierarchy(spark, d)
-    return hierarchy.descendants(h, h.atoms.where("id % 50 = 0").select("id"))
+    return network.all_upstream(h, h.atoms.where("id % 50 = 0").select("id")).where("id <> query_id")
 
 
 @query(_P5_TREE + "x as (select 1) select a.id query_id, a.a id from anc a where a.id % 50 = 0 and a.id in (select id from up) union all select id, id from up where id % 50 = 0")
 def p5_way_down(spark: SparkSession, d: str) -> DataFrame:
     h = _hierarchy(spark, d)
-    q = h.atoms.where("id % 50 = 0 and top is not null").select(F.col("id").alias("tag"), "top", F.col("lft").alias("at"))
-    return hierarchy.ancestors(h, q).select(F.col("tag").alias("query_id"), "id")
+    return network.all_downstream(h, h.atoms.where("id % 50 = 0").select("id"))
 
 
 @query()

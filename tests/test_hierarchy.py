@@ -4,6 +4,7 @@ import pytest
 
 from rillstone.operators import hierarchy as H
 from rillstone.operators import network
+from rillstone.plans import data_quality
 
 
 def brute(rows):
@@ -82,3 +83,17 @@ def check(spark, rows):
 def test_empty(spark):
     h = H.build(table(spark, [(1, [])]).limit(0))
     assert H.outlets(h).count() == 0 and H.cycles(h).count() == 0
+
+
+@pytest.mark.parametrize("case", [*CASES, "random"])
+def test_all_above_and_below(spark, tmp_path, case):
+    """The queries' whole answer, through branches and round rings; ids are multiples of 50, so every atom is queried."""
+    rng = random.Random(5)
+    rows = CASES.get(case) or [(i, [rng.randrange(1, 40) for _ in range(rng.choice([0, 1, 1, 2]))]) for i in range(1, 40)]
+    rows = [(i and 50 * i, ups and [u and 50 * u for u in ups]) for i, ups in rows]
+    table(spark, rows).write.parquet(f"{tmp_path}/graph_arrow.parquet")
+    nodes, _, far, _, _ = brute(rows)
+    up = [(r.query_id, r.id) for r in data_quality.p5_descendants(spark, str(tmp_path)).collect()]
+    assert len(up) == len(set(up)) and set(up) == {(n, m) for n in nodes for m in nodes if n in far[m] and n != m}
+    down = [(r.query_id, r.id) for r in data_quality.p5_way_down(spark, str(tmp_path)).collect()]
+    assert len(down) == len(set(down)) and set(down) == {(n, m) for n in nodes for m in far[n]}
