@@ -185,13 +185,12 @@ def _candidates(spark: SparkSession, d: str) -> DataFrame:
     mid = lambda a, b: (F.col(a).cast("double") + F.col(b)) / 2
     s = table(spark, d, "snap", "id", "weight", "is_mainstem", *BOX).select("id", "weight", "is_mainstem", mid("bbox_minx", "bbox_maxx").alias("lon"), mid("bbox_miny", "bbox_maxy").alias("lat"))
     o = s.where("id % 50 = 0").select(F.col("id").alias("outlet_id"), "lon", "lat")
-    s = s.where("weight is not null and not isnan(weight) and abs(weight) < float('inf')")
     return snapping.within(o, s, 2000.0)
 
 
 @query(_CAND + " select outlet_id, id from (select *, row_number() over (partition by outlet_id order by weight desc, m desc, dist, id) rn from k) where rn = 1")
 def snap_cascade(spark: SparkSession, d: str) -> DataFrame:
-    return snapping.cascade(_candidates(spark, d))
+    return snapping.cascade(_candidates(spark, d).where("weight is not null and not isnan(weight) and abs(weight) < float('inf')"))
 
 
 @query(_CAND + " select outlet_id, id from (select *, row_number() over (partition by outlet_id order by dist, id) rn from k) where rn = 1")

@@ -2,6 +2,7 @@ import numpy as np
 
 from rillstone.functions import sphere, wkb
 from rillstone.operators import spatial
+from rillstone.plans import drainage
 
 
 def test_tree_and_cells_lose_nothing():
@@ -42,3 +43,11 @@ def test_near_and_inside(spark):
     assert set(got) == want and len(got) == len(want)
     assert spatial.near_and_inside(p.limit(0), r, 50.0).count() == 0
     assert {x.kind for x in spatial.near_and_inside(p, None, 50.0).collect()} == {"near"}
+
+
+def test_weights_count_only_in_the_cascade(spark, tmp_path):
+    inf, nan = float("inf"), float("nan")
+    rows = [(50, nan, False, 0.0), (1, 3.0, False, 0.001), (2, None, True, 0.002), (3, 1.0, True, 0.003), (4, inf, False, 0.004)]
+    spark.createDataFrame([(i, w, m, x, 0.0, x, 0.0) for i, w, m, x in rows], "id long, weight float, is_mainstem boolean, bbox_minx float, bbox_miny float, bbox_maxx float, bbox_maxy float").write.parquet(f"{tmp_path}/snap.parquet")
+    got = {q.__name__: [tuple(r) for r in q(spark, str(tmp_path)).collect()] for q in (drainage.snap_distance_first, drainage.snap_mainstem_first, drainage.snap_cascade)}
+    assert got == {"snap_distance_first": [(50, 50)], "snap_mainstem_first": [(50, 2)], "snap_cascade": [(50, 1)]}
