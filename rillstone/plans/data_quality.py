@@ -64,8 +64,11 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     _P1
-    + """select src_table, column_name, feed, load_no, n_rows, n_null, n_invalid, n_distinct, min_valid, max_valid,
-  cast(coalesce(top, 0) as bigint) top_count from g left join t using (src_table, column_name, feed, load_no)"""
+    + """, p as (select *, case when feed is not null and load_no is not null and lag(load_no) over w is not null then lag(med) over w end prior
+  from g window w as (partition by src_table, column_name, feed order by load_no nulls first))
+select p.src_table, p.column_name, p.feed, p.load_no, n_rows, n_null, n_invalid, n_distinct, min_valid, max_valid,
+  cast(coalesce(top, 0) as bigint) top_count, med median, prior prior_median, med / nullif(prior, 0) change
+from p left join t on t.src_table = p.src_table and t.column_name = p.column_name and t.feed is not distinct from p.feed and t.load_no is not distinct from p.load_no"""
 )
 def p1_profile(spark: SparkSession, d: str) -> DataFrame:
     return profile.full_profile(_profiled(spark, d))
@@ -270,23 +273,18 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return hierarchy.outlets(h).select(F.lit("path").alias("kind"), "atom_id", "root_id", "steps").unionByName(hierarchy.cycles(h).select(F.lit("cycle").alias("kind"), "atom_id", "root_id", "steps"))
 
 
-_P5_TREE = (
-    _P5
-    + """dn as (select u, count(*) n, min(v) v from e where u <> v group by u),
-f as (select u id, v parent from dn where n = 1),
-up(id, top) as (select id, id from n where id not in (select id from f) union all select f.id, up.top from up join f on f.parent = up.id),
-anc(id, a) as (select id, parent from f union select anc.id, f.parent from anc join f on f.id = anc.a),
-"""
-)
+#: Over all edges, through atoms with several downstream atoms and round rings; queries are the ids divisible by 50.
+UP_SQL = _P5 + "up(q, id) as (select id, id from n where id % 50 = 0 union select up.q, e.u from up join e on e.v = up.id)"
+_DOWN_SQL = _P5 + "down(q, id) as (select id, id from n where id % 50 = 0 union select down.q, e.v from down join e on e.u = down.id)"
 
 
-@query(_P5_TREE + "x as (select 1) select a.a query_id, a.id from anc a where a.a % 50 = 0 and a.id in (select id from up)")
+@query(UP_SQL + " select q query_id, id from up where id <> q")
 def p5_descendants(spark: SparkSession, d: str) -> DataFrame:
     h = _hierarchy(spark, d)
     return network.all_upstream(h, h.atoms.where("id % 50 = 0").select("id")).where("id <> query_id")
 
 
-@query(_P5_TREE + "x as (select 1) select a.id query_id, a.a id from anc a where a.id % 50 = 0 and a.id in (select id from up) union all select id, id from up where id % 50 = 0")
+@query(_DOWN_SQL + " select q query_id, id from down")
 def p5_way_down(spark: SparkSession, d: str) -> DataFrame:
     h = _hierarchy(spark, d)
     return network.all_downstream(h, h.atoms.where("id % 50 = 0").select("id"))

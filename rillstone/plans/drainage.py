@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillstone.operators import boxes, hierarchy, network, snapping
-from rillstone.plans.data_quality import _P5, _hierarchy
+from rillstone.plans.data_quality import _P5, UP_SQL as _UP, _hierarchy
 from rillstone.sources.schemas import BOX
 from rillstone.sources.tables import table
 
@@ -58,9 +58,6 @@ def cycle_nodes(spark: SparkSession, d: str) -> DataFrame:
     return network.blocked(_hierarchy(spark, d))
 
 
-_UP = _P5 + "up(q, id) as (select id, id from n where id % 50 = 0 union select up.q, e.u from up join e on e.v = up.id)"
-
-
 @query(_UP + " select q query_id, id from up")
 def bfs_upstream(spark: SparkSession, d: str) -> DataFrame:
     h = _hierarchy(spark, d)
@@ -175,8 +172,8 @@ def hilbert_order(spark: SparkSession, d: str) -> DataFrame:
 
 # ---- snapping: outlets are the customers' places on a grid of degrees -------------------------------------------------
 
-_CAND = """with o as (select id outlet_id, (bbox_minx::double + bbox_maxx) / 2 olon, (bbox_miny::double + bbox_maxy) / 2 olat from snap where id % 50 = 0),
-s as (select id, weight, is_mainstem, (bbox_minx::double + bbox_maxx) / 2 lon, (bbox_miny::double + bbox_maxy) / 2 lat from snap where weight is not null and not isnan(weight) and not isinf(weight)),
+_CAND = """with s as (select id, weight, is_mainstem, (bbox_minx::double + bbox_maxx) / 2 lon, (bbox_miny::double + bbox_maxy) / 2 lat from snap),
+o as (select id outlet_id, lon olon, lat olat from s where id % 50 = 0),
 c as (select outlet_id, id, weight, coalesce(is_mainstem, false) m, 2 * 6371008.8 * asin(least(1.0, sqrt(pow(sin(radians(lat - olat) / 2), 2) + cos(radians(olat)) * cos(radians(lat)) * pow(sin(radians(lon - olon) / 2), 2)))) dist from o join s on abs(lat - olat) < 0.02),
 k as (select * from c where dist <= 2000)"""
 
@@ -188,7 +185,7 @@ def _candidates(spark: SparkSession, d: str) -> DataFrame:
     return snapping.within(o, s, 2000.0)
 
 
-@query(_CAND + " select outlet_id, id from (select *, row_number() over (partition by outlet_id order by weight desc, m desc, dist, id) rn from k) where rn = 1")
+@query(_CAND + " select outlet_id, id from (select *, row_number() over (partition by outlet_id order by weight desc, m desc, dist, id) rn from k where weight is not null and not isnan(weight) and not isinf(weight)) where rn = 1")
 def snap_cascade(spark: SparkSession, d: str) -> DataFrame:
     return snapping.cascade(_candidates(spark, d).where("weight is not null and not isnan(weight) and abs(weight) < float('inf')"))
 
