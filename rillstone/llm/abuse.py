@@ -5,18 +5,22 @@ mean over its words and neighbouring word pairs; a linear softmax over none, abu
 softmax are trained jointly in numpy. A misspelling not seen before shares most n-grams with the word it stands for.
 
 Labels are on documents, the language in single sentences: sentences of positive documents start as candidates unless
-documents labelled none have them as well (but for slips), and after each round of training only those that score for the document's label
-stay. Training takes a bounded sample of labelled documents (MAX_LABELLED, chosen by hash; every kind has its part).
-Every document is scored in whole, sentence by sentence; a document's score for a kind is that of its highest sentence.
-
-Defined results: null and empty texts score 0 for every kind. Repeated documents score alike. Without usable labels all
-scores are 0.
+documents labelled none have them as well (but for slips). Two nets, each trained on one half of the labelled documents,
+judge the sentences of the other half: the best sentence of a positive document and others that clearly score stay, the
+rest becomes none. The documents' scores by the net that hasn't seen them give each kind its cut, where precision and
+recall are best together; a last net is trained on all. Training takes a bounded sample of labelled documents
+(MAX_LABELLED; see labelled_texts), with the same shares of kinds and none at any size. Every document is scored in
+whole, sentence by sentence; a document's score for a kind is that of its highest sentence.
+
+Defined results: null and empty texts score below the cut for every kind (0). Repeated documents score alike. Where no
+labelled document is positive or none is clean there is no classifier: a warning, null scores, no rows of kinds.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+import warnings
 import zlib
 
 import numpy as np
@@ -27,13 +31,15 @@ from pyspark.sql import functions as F
 from rillstone.storage import Workspace
 
 KINDS = ("none", "abuse", "hate", "sexual")
-#: Labelled documents that the classifier is fitted on, at most; every kind and none have an equal part of them.
+#: Labelled documents that the classifier is fitted on, at most: half of them none, a sixth of each kind.
 MAX_LABELLED = 5000
 DIM, BUCKETS, MIN_N, MAX_N = 24, 1 << 17, 3, 5
-EPOCHS, BATCH, RATE = (4, 3, 4), 1024, 0.3
+EPOCHS, BATCH, RATE = (4, 4, 5), 1024, 0.3
 #: Updates that a round of training has at least, on few sentences with more epochs. A sentence may be what makes a
 #: document positive if clean documents have it at most SLIP times as often as positive ones.
 MIN_UPDATES, SLIP = 150, 0.2
+#: Scores from which the best sentence of a positive document, and any sentence, is taken for the language.
+GOOD, CLEAR = 0.3, 0.7
 THRESHOLD = 0.5
 
 #: Look-alike signs and the letters they stand for inside a word.
@@ -102,18 +108,18 @@ def bags(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 class Model:
     """Embeddings and softmax. Each word and pair is a fixed row of class scores, made when first seen."""
 
-    def __init__(self, embed: np.ndarray, weight: np.ndarray, bias: np.ndarray):
-        self.table, self.bias = (embed @ weight).astype(np.float32), bias
+    def __init__(self, embed: np.ndarray, weight: np.ndarray, bias: np.ndarray, cuts: np.ndarray):
+        self.table, self.bias, self.cuts = (embed @ weight).astype(np.float32), bias, cuts
         self.words = Words()
         self.scores_of = np.zeros((2, len(KINDS)), np.float32)
         self.pairs: dict[int, int] = {}
         self.pair_scores = np.zeros((1024, len(KINDS)), np.float32)
 
     def __getstate__(self):
-        return self.table, self.bias
+        return self.table, self.bias, self.cuts
 
     def __setstate__(self, state):
-        Model.__init__(self, state[0], np.eye(len(KINDS), dtype=np.float32), state[1])
+        Model.__init__(self, state[0], np.eye(len(KINDS), dtype=np.float32), *state[1:])
 
     def _word_scores(self) -> np.ndarray:
         n = len(self.scores_of)
@@ -155,11 +161,13 @@ class Model:
         return p, doc_of[has]
 
     def scores(self, texts: list) -> np.ndarray:
-        """A row of abuse, hate, sexual for each text: each the highest of its sentences."""
+        """A row of abuse, hate, sexual for each text: each the highest of its sentences, moved so that THRESHOLD is where
+        the kind's cut was."""
         p, doc = self.sentence_scores(texts)
         out = np.zeros((len(texts), len(KINDS) - 1))
         np.maximum.at(out, doc, p[:, 1:])
-        return out
+        a, b = out * (1 - self.cuts), (1 - out) * self.cuts
+        return a / (a + b)
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -182,7 +190,7 @@ class _Bags:
         starts = np.flatnonzero(np.diff(sentence, prepend=-1))
         index: dict = {}
         unit_of: dict = {}
-        rows, docs, flat, n = [], [], [], []
+        rows, docs, flat, times, m, n = [], [], [], [], [], []
         for a, b in zip(starts, [*starts[1:], len(ids)]):
             s = tuple(x for x in ids[a:b].tolist() if x > _DOC)
             if not s:
@@ -190,14 +198,20 @@ class _Bags:
             k = index.get(s)
             if k is None:
                 k = index[s] = len(index)
-                us = [unit_of.setdefault(x, len(unit_of)) for x in s] + [unit_of.setdefault(x, len(unit_of)) for x in zip(s, s[1:])]
+                us: dict = {}
+                for u in (*s, *zip(s, s[1:])):
+                    u = unit_of.setdefault(u, len(unit_of))
+                    us[u] = us.get(u, 0) + 1
                 flat += us
-                n.append(len(us))
+                times += us.values()
+                m.append(len(us))
+                n.append(2 * len(s) - 1)
             rows.append(k)
             docs.append(doc_of[sentence[a]])
         self.rows, self.docs = np.array(rows, np.int64), np.array(docs, np.int64)
-        self.n, self.flat = np.array(n, np.int64), np.array(flat, np.int64)
-        self.start = np.concatenate([[0], np.cumsum(self.n)[:-1]])
+        self.m, self.flat = np.array(m, np.int64), np.array(flat, np.int64)
+        self.start = np.concatenate([[0], np.cumsum(self.m)[:-1]])
+        self.part = np.array(times, np.float32) / np.repeat(np.array(n, np.float32), self.m)
         name = words.words
         grams = [_grams(f"{name[u[0]]} {name[u[1]]}" if isinstance(u, tuple) else name[u]) for u in unit_of]
         self.gn = np.array([len(g) for g in grams], np.int64)
@@ -205,13 +219,22 @@ class _Bags:
         self.gstart = np.concatenate([[0], np.cumsum(self.gn)[:-1]])
 
     def __len__(self):
-        return len(self.n)
+        return len(self.m)
 
     def batch(self, at: np.ndarray):
-        n = self.n[at]
-        units, back = np.unique(self.flat[_spans(self.start[at], n)], return_inverse=True)
+        """(share of each unit in each sentence, as a matrix over the units that occur; grams of these units)."""
+        m = self.m[at]
+        span = _spans(self.start[at], m)
+        flat = self.flat[span]
+        there = np.zeros(len(self.gn), bool)
+        there[flat] = True
+        units = np.flatnonzero(there)
+        place = np.empty(len(self.gn), np.int64)
+        place[units] = np.arange(len(units))
+        shares = np.zeros((len(at), len(units)), np.float32)
+        shares[np.repeat(np.arange(len(at)), m), place[flat]] = self.part[span]
         gn = self.gn[units]
-        return n, back, gn, self.gflat[_spans(self.gstart[units], gn)]
+        return shares, gn, self.gflat[_spans(self.gstart[units], gn)]
 
 
 def _sums(values: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -220,7 +243,7 @@ def _sums(values: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 def _by(key: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys and the sums of their values."""
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     k = key[order]
     first = np.flatnonzero(np.diff(k, prepend=k[0] - 1))
     return k[first], np.add.reduceat(values[order], first, axis=0)
@@ -237,17 +260,15 @@ class _Net:
         self.seen = [np.full((BUCKETS, 1), 1e-6, np.float32), np.full(self.weight.shape, 1e-3, np.float32), np.full(self.bias.shape, 1e-3, np.float32)]
 
     def forward(self, b):
-        n, back, gn, g = b
-        unit = _sums(self.embed[g], gn) / gn[:, None].astype(np.float32)
-        x = _sums(unit[back], n) / n[:, None].astype(np.float32)
+        shares, gn, g = b
+        x = shares @ (_sums(self.embed[g], gn) / gn[:, None].astype(np.float32))
         return x, softmax(x @ self.weight + self.bias)
 
     def step(self, b, target: np.ndarray, weight: np.ndarray, rate: float) -> None:
-        n, back, gn, g = b
+        shares, gn, g = b
         x, p = self.forward(b)
         d = ((p - target) * (weight / max(weight.sum(), 1e-6))[:, None]).astype(np.float32)
-        dx = (d @ self.weight.T) / n[:, None].astype(np.float32)
-        _, dunit = _by(back, np.repeat(dx, n, axis=0))
+        dunit = shares.T @ (d @ self.weight.T)
         ids, dg = _by(g, np.repeat(dunit / gn[:, None].astype(np.float32), gn, axis=0))
         self.seen[0][ids] += (dg**2).mean(axis=1, keepdims=True)
         self.embed[ids] -= rate * dg / np.sqrt(self.seen[0][ids])
@@ -265,82 +286,140 @@ class _Net:
                 self.step(data.batch(at), target[at], weight[at], RATE * (1 - e / (epochs + 1)))
 
     def predict(self, data: _Bags) -> np.ndarray:
-        return np.concatenate([self.forward(data.batch(np.arange(lo, min(lo + 4096, len(data)))))[1] for lo in range(0, len(data), 4096)])
+        return np.concatenate([self.forward(data.batch(np.arange(lo, min(lo + BATCH, len(data)))))[1] for lo in range(0, len(data), BATCH)])
+
+
+def _weak(data: _Bags, kind_of: np.ndarray, use: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(target, weight) of each sentence from the labels of the documents marked in use alone: a sentence that clean
+    documents have is none, but for slips; the candidates of a positive document share its label."""
+    n = len(data)
+    on = use[data.docs]
+    rows, cols = data.rows[on], data.docs[on]
+    seen = np.array([np.bincount(rows, kind_of[cols, c], n) for c in range(len(KINDS))]).T
+    candidate = (seen[:, 0] <= SLIP * seen[:, 1:].sum(axis=1)) & (seen.sum(axis=1) > 0)
+    fresh = np.maximum(np.bincount(cols, candidate[rows], len(kind_of)), 1)  # candidates in each document
+    share = np.array([np.bincount(rows, kind_of[cols, c] / fresh[cols], n) for c in range(len(KINDS))]).T
+    target, weight = np.zeros((n, len(KINDS))), np.minimum(seen[:, 0], 10.0)
+    target[:, 0] = 1
+    total = np.maximum(share[candidate].sum(axis=1), 1e-9)
+    target[candidate] = share[candidate] / total[:, None]
+    weight[candidate] = np.minimum(total, 3)
+    return target, weight
+
+
+def _relabel(data: _Bags, kind_of: np.ndarray, score: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(target, weight) of each sentence, by the scores of its occurrences, which come from a net that has not seen the
+    document. Of a positive document the best sentence for its kind is that kind, if it is good enough, and others that
+    clearly are; a document without one is a reviewer's slip. The rest is none, but for what clearly is a kind in a
+    document labelled none."""
+    n, rows, docs = len(data), data.rows, data.docs
+    positive = kind_of[docs, 1:].any(axis=1)
+    has = np.bincount(rows[positive], minlength=n)
+    wins = np.zeros((n, len(KINDS)))
+    for c in range(1, len(KINDS)):
+        mine = np.flatnonzero(kind_of[docs, c] > 0)
+        order = mine[np.lexsort((rows[mine], -score[mine, c], docs[mine]))]
+        best = order[np.flatnonzero(np.diff(docs[order], prepend=-1))]
+        best = best[score[best, c] > GOOD]
+        wins[:, c] += np.bincount(rows[best], minlength=n)
+    clear = score[:, 1:].max(axis=1) > CLEAR
+    clean = np.bincount(rows[~positive & ~clear], minlength=n)
+    also = np.zeros((n, len(KINDS)))
+    at = positive & clear
+    np.add.at(also, (rows[at], score[at, 1:].argmax(axis=1) + 1), 1)
+    won = wins.sum(axis=1)
+    # a phrase that many positive documents have but that seldom is the best of one comes with the language, it is not it
+    frame = (has >= 5) & (won < 0.3 * has)
+    votes = np.where((won > 0)[:, None], wins, also)
+    named = (votes.sum(axis=1) > 0) & ~frame & (clean <= SLIP * has)
+    target = np.zeros((n, len(KINDS)))
+    target[~named, 0] = 1
+    target[named] = votes[named] / votes[named].sum(axis=1, keepdims=True)
+    weight = np.where(named, 2.0, np.minimum(clean + 0.5 * np.minimum(has, 2), 10.0))
+    return target, weight
+
+
+def _balanced(target: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Weights with which the kinds weigh more nearly alike."""
+    mass = (target * weight[:, None]).sum(axis=0)
+    balance = np.where(mass > 0, np.sqrt(mass.max() / np.maximum(mass, 1e-9)), 0)
+    return weight * (target @ np.minimum(balance, 10))
+
+
+def _cut(score: np.ndarray, truth: np.ndarray) -> float:
+    """The score above which a kind holds: that of the best F1 over documents the scores' net has not seen, in the
+    middle of the scores that share it."""
+    order = np.argsort(-score, kind="stable")
+    s, hit = score[order], np.cumsum(truth[order])
+    if not len(s) or not hit[-1]:
+        return 0.5
+    f1 = 2 * hit / (np.arange(1, len(s) + 1) + hit[-1])
+    f1[:-1][s[:-1] == s[1:]] = 0  # equal scores stand or fall together
+    k = int(f1.argmax())
+    low = s[k + 1] if k + 1 < len(s) else 0.0
+    return float(np.clip((s[k] + low) / 2, 0.05, 0.98))
 
 
 def fit(labelled: list[tuple[str, set]]) -> Model | None:
-    """labelled: (text, kinds by its reviewers; empty for none). None where no document is positive or none is clean."""
+    """labelled: (text, kinds by its reviewers; empty for none). None where no document is positive or none is clean.
+
+    Two folds: a net trained on one judges the sentences and documents of the other, so that what a net has learnt by
+    heart, a reviewer's slip too, doesn't confirm itself. The last net is trained on both.
+    """
     if not any(k for _, k in labelled) or all(k for _, k in labelled):
+        warnings.warn(f"no classifier: of {len(labelled)} labelled documents {sum(not k for _, k in labelled)} are labelled none; scores will be null", stacklevel=2)
         return None
     data = _Bags([t for t, _ in labelled])
-    n, n_docs = len(data), len(labelled)
-    if not n:
+    if not len(data):
         return None
-    rows, cols = data.rows, data.docs
-    kind_of = np.zeros((n_docs, len(KINDS)))
+    rows, docs = data.rows, data.docs
+    kind_of = np.zeros((len(labelled), len(KINDS)))
     for d, (_, k) in enumerate(labelled):
         for x in k or {"none"}:
             kind_of[d, KINDS.index(x)] = 1
-    seen = np.array([np.bincount(rows, kind_of[cols, c], n) for c in range(len(KINDS))]).T
-    candidate = seen[:, 0] <= SLIP * seen[:, 1:].sum(axis=1)
-    fresh = np.maximum(np.bincount(cols, candidate[rows], n_docs), 1)  # candidates in each document
-    share = np.array([np.bincount(rows, kind_of[cols, c] / fresh[cols], n) for c in range(len(KINDS))]).T
-    target, weight = np.zeros((n, len(KINDS))), np.zeros(n)
-    target[:, 0] = 1
-    weight[~candidate] = np.minimum(seen[~candidate, 0], 10)
-    total = np.maximum(share[candidate].sum(axis=1), 1e-9)
-    target[candidate] = share[candidate] / total[:, None]
-    weight[candidate] = np.minimum(total, 3)
+    # both folds have their part of each kind
+    fold = np.zeros(len(labelled), int)
+    for c in range(len(KINDS)):
+        mine = np.flatnonzero(kind_of[:, c])
+        fold[mine] = np.arange(len(mine)) % 2
+    nets = [_Net(7 + f) for f in (0, 1)]
+    labels = [_weak(data, kind_of, fold == f) for f in (0, 1)]
+    inside = [np.bincount(rows[fold[docs] == f], minlength=len(data)) > 0 for f in (0, 1)]
+    for epochs in EPOCHS[:-1]:
+        judged = np.zeros((len(rows), len(KINDS)))
+        for f in (0, 1):
+            target, weight = labels[f]
+            nets[f].train(data, target, _balanced(target, weight * inside[f]), epochs)
+            other = fold[docs] != f
+            judged[other] = nets[f].predict(data)[rows[other]]
+        labels = [_relabel(data, kind_of, judged)] * 2
+    of_doc = np.zeros((len(labelled), len(KINDS)))
+    np.maximum.at(of_doc, docs, judged)
+    cuts = [_cut(of_doc[:, c], kind_of[:, c]) for c in range(1, len(KINDS))]
     net = _Net()
-    for r, epochs in enumerate(EPOCHS):
-        # kinds weigh alike
-        mass = (target * weight[:, None]).sum(axis=0)
-        balance = np.where(mass > 0, np.sqrt(mass.max() / np.maximum(mass, 1e-9)), 0)
-        net.train(data, target, weight * (target @ np.minimum(balance, 10)), epochs)
-        if r == len(EPOCHS) - 1:
-            break
-        p = net.predict(data)
-        # sentences of clean documents stay none; what scores for a kind all the same is a reviewer's slip
-        target[:], target[:, 0] = 0, 1
-        slip = (p[:, 0] < 0.3) & (seen[:, 0] <= 1)
-        weight[~candidate] = np.where(slip[~candidate], 0.0, np.minimum(seen[~candidate, 0], 10))
-        weight[candidate] = np.maximum(0.5, np.minimum(seen[candidate, 1:].sum(axis=1) / 4, 3))
-        # positive documents: the best candidate for each of its kinds, and others that clearly score for a kind
-        best: dict = {}
-        for i in np.flatnonzero(candidate[rows]):
-            s, d = rows[i], cols[i]
-            for c in np.flatnonzero(kind_of[d, 1:]) + 1:
-                if p[s, c] > best.get((d, c), (0.0, -1))[0]:
-                    best[d, c] = (p[s, c], s)
-        # a phrase that many positive documents have but that seldom is the best of one comes with the language, it is not it
-        wins = np.bincount([s for q, s in best.values() if q > 0.15], minlength=n)
-        has = seen[:, 1:].sum(axis=1)
-        frame = (has >= 5) & (wins < 0.3 * has)
-        for (_, c), (q, s) in best.items():
-            if q > 0.15 and not frame[s]:
-                target[s], weight[s] = np.eye(len(KINDS))[c], 2.0
-        sure = candidate & ~frame & (p[:, 1:].max(axis=1) > 0.7)
-        target[sure], weight[sure] = np.eye(len(KINDS))[p[sure].argmax(axis=1)], 2.0
-    return Model(net.embed, net.weight, net.bias)
+    net.train(data, labels[0][0], _balanced(*labels[0]), EPOCHS[-1])
+    return Model(net.embed, net.weight, net.bias, np.array(cuts))
 
 
 # ---- on tables ------------------------------------------------------------------------------------------------------
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", verdict: str = "verdict", most: int = MAX_LABELLED) -> list[tuple[str, set]]:
-    """A bounded sample for fit: each of none, abuse, hate and sexual has an equal quota of documents, by hash, and what
-    one leaves unused the others share. A kind holds where more reviewers named it than none; documents whose reviewers
-    disagree otherwise are left out, as are unknown verdicts."""
+    """A bounded sample for fit, of documents chosen by hash from the labels: half of it none, a sixth each abuse, hate and
+    sexual, at any size of the table; what one leaves unused the others share. A kind holds where more reviewers named
+    it than none; documents whose reviewers disagree otherwise are left out, as are unknown verdicts. Chosen documents
+    that are missing or have no text are not replaced. The texts are read once."""
     v = F.lower(F.trim(F.col(verdict)))
     votes = labels.select(F.col(key), v.alias("v")).where(F.col("v").isin(*KINDS)).groupBy(key).agg(*[F.count_if(F.col("v") == k).alias(f"n_{k}") for k in KINDS])
     kinds = F.array_compact(F.array(*[F.when(F.col(f"n_{k}") > F.col("n_none"), k) for k in KINDS[1:]]))
     voted = votes.select(key, kinds.alias("kinds"), (F.col("n_none") == sum((F.col(f"n_{k}") for k in KINDS[1:]), F.col("n_none"))).alias("clean")).where("clean or size(kinds) > 0")
-    usable = Workspace(docs.sparkSession, "labelled").cut(voted.join(docs.where(F.length(text) > 0).select(key), key, "left_semi").select(key, "kinds", F.xxhash64(key).alias("h")))
-    # by turns: the first of each kind, the second of each, and so on; a document of several kinds counts where it comes first
+    usable = Workspace(docs.sparkSession, "labelled").cut(voted.select(key, "kinds", F.xxhash64(key).alias("h")))
+    # by turns: three documents of none and one of each kind, again and again; one of several kinds counts where it comes first
     firsts = None
     for k in KINDS:
         mine = usable.where("size(kinds) = 0" if k == "none" else F.array_contains("kinds", k)).orderBy("h", key).limit(most)
-        mine = mine.withColumn("turn", F.row_number().over(Window.partitionBy(F.lit(k)).orderBy("h", key)))  # of at most `most` rows
+        place = F.row_number().over(Window.partitionBy(F.lit(k)).orderBy("h", key))  # of at most `most` rows
+        mine = mine.withColumn("turn", F.ceil(place / len(KINDS[1:])) if k == "none" else place.cast("long"))
         firsts = mine if firsts is None else firsts.unionByName(mine)
     turns = firsts.groupBy(key).agg(F.first("kinds").alias("kinds"), F.min("turn").alias("turn"), F.first("h").alias("h"))
     chosen = turns.orderBy("turn", F.size("kinds") == 0, "h", key).limit(most).select(key, "kinds")
@@ -349,10 +428,10 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
 
 
 def score(docs: DataFrame, model: Model | None, keep: list[str], text: str = "text", chunk: int = 256) -> DataFrame:
-    """keep, abuse, hate, sexual: scores from 0 to 1 of every document, whole texts."""
+    """keep, abuse, hate, sexual: scores from 0 to 1 of every document, whole texts; nulls without a model."""
     names = [*keep, *KINDS[1:]]
     if model is None:
-        return docs.select(*keep, *[F.lit(0.0).alias(k) for k in KINDS[1:]])
+        return docs.select(*keep, *[F.lit(None).cast("double").alias(k) for k in KINDS[1:]])
     shared = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size, BUCKETS rows of four numbers
 
     def run(batches):
@@ -378,7 +457,7 @@ def kinds(scored: DataFrame, key: str = "doc_id", threshold: float = THRESHOLD)
 
 
 def rates(scored: DataFrame, by: str = "source", threshold: float = THRESHOLD) -> DataFrame:
-    """by, n_docs, and for each kind the number and share of documents that score for it."""
-    hits = [F.count_if(F.col(k) > threshold).alias(f"n_{k}") for k in KINDS[1:]]
+    """by, n_docs, and for each kind the number and share of documents that score for it; nulls where nothing was scored."""
+    hits = [F.sum((F.col(k) > threshold).cast("long")).alias(f"n_{k}") for k in KINDS[1:]]
     r = scored.groupBy(by).agg(F.count(F.lit(1)).alias("n_docs"), *hits)
     return r.select("*", *[(F.col(f"n_{k}") / F.col("n_docs")).alias(f"share_{k}") for k in KINDS[1:]])

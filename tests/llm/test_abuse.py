@@ -1,4 +1,5 @@
 import random
+import warnings
 
 import numpy as np
 
@@ -61,19 +62,47 @@ def test_votes(spark):
 
 
 def test_more_positive_documents_than_the_bound(spark):
-    texts = [(i, t, k) for i, (t, k) in enumerate(sample(400, 4))]
+    texts = [(i, t, k) for i, (t, k) in enumerate(sample(1000, 4))]
     docs = spark.createDataFrame([(i, t) for i, t, _ in texts], "doc_id long, text string")
     labels = spark.createDataFrame([(i, next(iter(k), "none")) for i, _, k in texts], "doc_id long, verdict string")
     n = {k: sum((next(iter(kinds), "none")) == k for _, _, kinds in texts) for k in abuse.KINDS}
-    most = 120
-    assert sum(n[k] for k in abuse.KINDS[1:]) > most and min(n.values()) > most // 4
+    most = 360
+    quota = {"none": most // 2} | dict.fromkeys(abuse.KINDS[1:], most // 6)
+    assert sum(n[k] for k in abuse.KINDS[1:]) > most and all(n[k] > quota[k] for k in abuse.KINDS)
     got = abuse.labelled_texts(docs, labels, most=most)
-    assert len(got) == most and {k: sum(next(iter(kinds), "none") == k for _, kinds in got) for k in abuse.KINDS} == dict.fromkeys(abuse.KINDS, most // 4)
+    assert len(got) == most and {k: sum(next(iter(kinds), "none") == k for _, kinds in got) for k in abuse.KINDS} == quota
     m = abuse.fit(got)
-    assert m is not None and {r.kind for r in abuse.kinds(abuse.score(docs, m, ["doc_id"])).collect()} == set(abuse.KINDS[1:])
+    assert m is not None
+    # the bound does not move the rate at which documents are flagged
+    all_of_them = abuse.fit([(t, k) for _, t, k in texts])
+    test = [t for t, _ in sample(300, 5)]
+    rate = lambda x: (x.scores(test) > abuse.THRESHOLD).any(axis=1).mean()
+    assert abs(rate(m) - rate(all_of_them)) < 0.03
+    assert {r.kind for r in abuse.kinds(abuse.score(docs, m, ["doc_id"])).collect()} == set(abuse.KINDS[1:])
     # what a kind leaves unused goes to the others
     few = labels.where("verdict <> 'hate' or doc_id < 40")
-    left = n["hate"] - sum(1 for i, _, k in texts if k == {"hate"} and i >= 40)
+    left = sum(1 for i, _, k in texts if k == {"hate"} and i < 40)
     got = abuse.labelled_texts(docs, few, most=most)
-    parts = [sum(next(iter(kinds), "none") == k for _, kinds in got) for k in abuse.KINDS if k != "hate"]
-    assert len(got) == most and left < most // 4 and sum(parts) == most - left and max(parts) - min(parts) <= 1
+    parts = {k: sum(next(iter(kinds), "none") == k for _, kinds in got) for k in abuse.KINDS}
+    assert len(got) == most and parts["hate"] == left < most // 6 and abs(parts["abuse"] - parts["sexual"]) <= 1 and abs(parts["none"] - 3 * parts["abuse"]) <= 3
+
+
+def test_slips_of_reviewers_do_not_spread():
+    data = sample(400, 6)
+    rng = random.Random(7)
+    odd = [(t, {rng.choice(abuse.KINDS[1:])} if not k and rng.random() < 0.08 else k) for t, k in data]
+    m = abuse.fit(odd)
+    test = sample(300, 8)
+    s = m.scores([t for t, _ in test]) > abuse.THRESHOLD
+    y = np.array([[k in kinds for k in abuse.KINDS[1:]] for _, kinds in test])
+    assert (s & ~y).any(axis=1).mean() < 0.02 and s[y].mean() > 0.95
+
+
+def test_no_clean_documents_is_said(spark):
+    with warnings.catch_warnings(record=True) as said:
+        warnings.simplefilter("always")
+        assert abuse.fit([("You are a blorgh.", {"abuse"})] * 20) is None
+    assert any("no classifier" in str(w.message) for w in said)
+    docs = spark.createDataFrame([(1, "s", "text")], "doc_id long, source string, text string")
+    scored = abuse.score(docs, None, ["doc_id", "source"])
+    assert scored.first().abuse is None and abuse.kinds(scored).count() == 0 and abuse.rates(scored).first().n_abuse is None
