@@ -1,5 +1,7 @@
 """The catalogue of checks. Each takes tables and yields diagnostics; none collects, none needs another's result.
 
+Rules of single rows are lists (null_rules and others), so that all of a table's go in one pass (diagnostics.each).
+
 `row` places a record in its file (see with_row): a column, its name, or None.
 """
 
@@ -31,20 +33,20 @@ def _fmt(text: str, *cols) -> Column:
 # ---- identity and values of single rows -----------------------------------------------------------------------------
 
 
-def nulls(df: DataFrame, artifact: str, required: dict[str, list[str]], row: D.Place = ROW) -> DataFrame:
+def null_rules(artifact: str, required: dict[str, list[str]]) -> list[D.Rule]:
     """required: name in the check id to its columns; several columns give one finding."""
-    bad = []
+    out = []
     for name, cols in required.items():
         miss = F.lit(False)
         for c in cols:
             miss = miss | F.col(c).isNull()
-        bad.append((miss, f"{artifact}.null_{name}", F.lit(f"null in required column {name}")))
-    return D.cap(D.each(df, bad, "Schema", artifact, row), D.NULL_CAP)
+        out.append((miss, f"{artifact}.null_{name}", F.lit(f"null in required column {name}"), "Schema"))
+    return out
 
 
-def id_signs(df: DataFrame, artifact: str, prefix: str, key: str = "id", row: D.Place = ROW) -> DataFrame:
+def id_rules(prefix: str, key: str = "id") -> list[D.Rule]:
     v = F.col(key)
-    return D.each(df, [(v == 0, f"ids.{prefix}_zero", F.lit("id is 0, which is reserved for the terminal sink")), (v < 0, f"ids.{prefix}_negative", _fmt("id %d is negative", key))], "IdConstraint", artifact, row)
+    return [(v == 0, f"ids.{prefix}_zero", F.lit("id is 0, which is reserved for the terminal sink"), "IdConstraint"), (v < 0, f"ids.{prefix}_negative", _fmt("id %d is negative", key), "IdConstraint")]
 
 
 def duplicates(df: DataFrame, artifact: str, prefix: str, key: str = "id", row: D.Place = ROW) -> DataFrame:
@@ -56,28 +58,23 @@ def duplicates(df: DataFrame, artifact: str, prefix: str, key: str = "id", row:
     return D.where(again, F.lit(True), f"ids.{prefix}_duplicate", "IdConstraint", artifact, F.format_string("id %d occurs again; first in row %d", "k", "f"), F.col("r"))
 
 
-def duplicate_counts(df: DataFrame, key: str = "id") -> DataFrame:
-    """key, surplus: rows after the first of each positive id."""
-    return df.where(F.col(key) > 0).groupBy(key).agg((F.count(F.lit(1)) - 1).alias("surplus")).where("surplus > 0")
-
-
 def upstream_entries(graph: DataFrame, row: D.Place = ROW) -> DataFrame:
     """Entries that are 0 (a null entry reads as 0) or negative."""
     e = graph.select(D.place(row).alias("_row"), F.posexplode("upstream_ids").alias("pos", "u")).withColumn("u", F.coalesce("u", F.lit(0)))
-    return D.each(e, [(F.col("u") == 0, "ids.upstream_zero", _fmt("entry %d is 0", "pos")), (F.col("u") < 0, "ids.upstream_negative", _fmt("entry %d is negative: %d", "pos", "u"))], "IdConstraint", "graph", ROW)
+    return D.each(e, [(F.col("u") == 0, "ids.upstream_zero", _fmt("entry %d is 0", "pos"), "IdConstraint"), (F.col("u") < 0, "ids.upstream_negative", _fmt("entry %d is negative: %d", "pos", "u"), "IdConstraint")], "graph", ROW)
 
 
-def snap_ids(snap: DataFrame, row: D.Place = ROW) -> DataFrame:
-    return D.each(snap, [(F.col("id") <= 0, "ids.snap_id", _fmt("id %d is not positive", "id")), (F.col("catchment_id") <= 0, "ids.snap_catchment_id", _fmt("catchment_id %d is not positive", "catchment_id"))], "IdConstraint", "snap", row)
+def snap_id_rules() -> list[D.Rule]:
+    return [(F.col("id") <= 0, "ids.snap_id", _fmt("id %d is not positive", "id"), "IdConstraint"), (F.col("catchment_id") <= 0, "ids.snap_catchment_id", _fmt("catchment_id %d is not positive", "catchment_id"), "IdConstraint")]
 
 
-def measure(df: DataFrame, column: str, check_id: str, artifact: str, row: D.Place = ROW) -> DataFrame:
+def measure_rules(column: str, check_id: str) -> list[D.Rule]:
     """Not finite, else negative; zero is allowed. Nulls are the null check's."""
     v, there = F.col(column), F.col(column).isNotNull()
-    return D.each(df, [(there & ~finite(column), check_id, F.lit(f"{column} is not finite")), (there & finite(column) & (v < 0), check_id, F.concat(F.lit(f"{column} is negative: "), v.cast("string")))], "IdConstraint", artifact, row)
+    return [(there & ~finite(column), check_id, F.lit(f"{column} is not finite"), "IdConstraint"), (there & finite(column) & (v < 0), check_id, F.concat(F.lit(f"{column} is negative: "), v.cast("string")), "IdConstraint")]
 
 
-def box(df: DataFrame, artifact: str, prefix: str, strictly: bool, row: D.Place = ROW) -> DataFrame:
+def box_rules(prefix: str, strictly: bool) -> list[D.Rule]:
     """Corners that are not finite; only where all are: range of longitude and latitude, and order of the corners."""
     there = F.lit(True)
     for c in BOX:
@@ -86,13 +83,13 @@ def box(df: DataFrame, artifact: str, prefix: str, strictly: bool, row: D.Place
     for c in BOX:
         good = good & finite(c)
     cid = f"ids.{prefix}_bbox"
-    checks = [(there & ~finite(c), cid, F.lit(f"{c} is not finite")) for c in BOX]
-    checks += [(good & ~F.col(c).between(-180, 180), cid, F.lit(f"{c} is out of range")) for c in ("bbox_minx", "bbox_maxx")]
-    checks += [(good & ~F.col(c).between(-90, 90), cid, F.lit(f"{c} is out of range")) for c in ("bbox_miny", "bbox_maxy")]
+    checks = [(there & ~finite(c), F.lit(f"{c} is not finite")) for c in BOX]
+    checks += [(good & ~F.col(c).between(-180, 180), F.lit(f"{c} is out of range")) for c in ("bbox_minx", "bbox_maxx")]
+    checks += [(good & ~F.col(c).between(-90, 90), F.lit(f"{c} is out of range")) for c in ("bbox_miny", "bbox_maxy")]
     for a, b in (("bbox_minx", "bbox_maxx"), ("bbox_miny", "bbox_maxy")):
         wrong = F.col(a) >= F.col(b) if strictly else F.col(a) > F.col(b)
-        checks.append((good & wrong, cid, F.lit(f"{a} and {b} are in the wrong order" + (" or equal" if strictly else ""))))
-    return D.each(df, checks, "IdConstraint", artifact, row)
+        checks.append((good & wrong, F.lit(f"{a} and {b} are in the wrong order" + (" or equal" if strictly else ""))))
+    return [(bad, cid, text, "IdConstraint") for bad, text in checks]
 
 
 # ---- across tables --------------------------------------------------------------------------------------------------
@@ -118,25 +115,27 @@ def up_area(catchments: DataFrame, declared: bool) -> DataFrame:
     return D.where(n, (F.col("n") > 0) & F.lit(declared), "values.up_area_consistency", "ValueConsistency", "catchments", _fmt("%d of %d rows have no up_area_km2", "n", "total"))
 
 
-def union_box(catchments: DataFrame) -> DataFrame:
-    """minx, miny, maxx, maxy as doubles over the rows whose four corners are finite; nulls where there is none."""
+def union_box(catchments: DataFrame, *by: str) -> DataFrame:
+    """minx, miny, maxx, maxy as doubles over the rows whose four corners are finite; nulls where there is none. One row,
+    or one for each value of by."""
     good = F.lit(True)
     for c in BOX:
         good = good & finite(c)
     f = catchments.where(good)
-    return f.agg(*[(F.min if "min" in c else F.max)(F.col(c).cast("double")).alias(c[5:]) for c in BOX])
+    return f.groupBy(*by).agg(*[(F.min if "min" in c else F.max)(F.col(c).cast("double")).alias(c[5:]) for c in BOX])
 
 
-def enclosure(catchments: DataFrame, bbox: list[float]) -> DataFrame:
-    """Sides on which the manifest's box does not enclose the catchments; compared as doubles."""
-    u = union_box(catchments)
-    tests = [(F.col("minx") < bbox[0], "west"), (F.col("miny") < bbox[1], "south"), (F.col("maxx") > bbox[2], "east"), (F.col("maxy") > bbox[3], "north")]
-    return D.each(u, [(bad, "values.bbox_enclosure", F.lit(f"catchments reach beyond the manifest's box in the {side}")) for bad, side in tests], "ValueConsistency", "cross_file")
+def enclosure(boxes: DataFrame, row: D.Place = None) -> DataFrame:
+    """boxes: minx, miny, maxx, maxy of catchments, and the manifest's bbox. Sides on which bbox does not enclose them;
+    compared as doubles."""
+    at = lambda i: F.col("bbox")[i]
+    tests = [(F.col("minx") < at(0), "west"), (F.col("miny") < at(1), "south"), (F.col("maxx") > at(2), "east"), (F.col("maxy") > at(3), "north")]
+    return D.each(boxes, [(bad, "values.bbox_enclosure", F.lit(f"catchments reach beyond the manifest's box in the {side}"), "ValueConsistency") for bad, side in tests], "cross_file", row)
 
 
-def atom_count(catchments: DataFrame, declared: int) -> DataFrame:
-    n = catchments.agg(F.count(F.lit(1)).alias("n"))
-    return D.where(n, F.col("n") != declared, "schema.atom_count_mismatch", "Schema", "cross_file", F.format_string(f"manifest declares {declared} atoms, catchments has %d rows", "n"))
+def atom_count(counts: DataFrame, row: D.Place = None) -> DataFrame:
+    """counts: n (rows of catchments) and declared (by the manifest, may be null)."""
+    return D.where(counts, ~F.col("declared").eqNullSafe(F.col("n")), "schema.atom_count_mismatch", "Schema", "cross_file", F.concat(F.lit("manifest declares "), F.coalesce(F.col("declared").cast("string"), F.lit("no number of")), F.lit(" atoms, catchments has "), F.col("n").cast("string"), F.lit(" rows")), row)
 
 
 # ---- manifest -------------------------------------------------------------------------------------------------------
@@ -172,7 +171,7 @@ def manifest(m: DataFrame, row: D.Place = None) -> DataFrame:
         (c("has_rasters") & c("flow_dir_encoding").isNull(), "manifest.flow_dir_encoding", F.lit("flow_dir_encoding is missing")),
         (c("has_rasters") & ~c("flow_dir_encoding").isin("esri", "taudem"), "manifest.flow_dir_encoding", F.lit("flow_dir_encoding is unknown")),
     ]
-    return D.each(m, checks, "Manifest", "manifest", row)
+    return D.each(m, [(*c_, "Manifest") for c_ in checks], "manifest", row)
 
 
 def buildable(m: DataFrame) -> DataFrame:
@@ -214,14 +213,28 @@ def geometry(df: DataFrame, artifact: str, prefix: str, allowed: tuple[int, ...]
         (F.col("_long") & ~F.col("_type"), f"geometry.{prefix}_wrong_type", F.concat(F.lit("geometry has WKB type "), F.when(long_ok, wkb_type(g)).cast("string"))),
         (F.col("_type") & ~F.col("_wkb"), f"geometry.{prefix}_invalid_wkb", F.lit("geometry can't be parsed")),
     ]
-    return D.each(x, checks, "Geometry", artifact, row)
+    return D.each(x, [(*c, "Geometry") for c in checks], artifact, row)
 
 
 def exact_sample(df: DataFrame, percent: float, key: str = "_row", seed: int = 0) -> DataFrame:
-    """ceil(n * percent / 100) rows, at least one, the same for the same seed."""
-    n = df.count()
-    k = min(max(-(-int(n * percent * 1_000_000) // 100_000_000), 1), n) if n else 0
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(k)
+    """ceil(n * percent / 100) rows, at least one, the same for the same seed: those with the smallest hash.
+
+    A histogram of the hash (of fixed size) tells the cut-off; rows below it are taken where they are, and only those of
+    the bucket at the cut-off, one in 65,536, are sorted.
+    """
+    h = F.xxhash64(F.col(key), F.lit(seed))
+    bucket = F.pmod(F.shiftright(h, 32), F.lit(1 << 16))
+    counts = sorted((r[0], r[1]) for r in df.groupBy(bucket.alias("b")).count().collect())  # at most 65,536 rows
+    n = sum(c for _, c in counts)
+    k = min(max(-(-int(n * percent * 1_000_000) // 100_000_000), 1), n)
+    for edge, c in counts:
+        if k <= c:
+            break
+        k -= c
+    if not n:
+        return df.limit(0)
+    at_edge = df.where(bucket == edge).orderBy(h, key).limit(k)
+    return df.where(bucket < edge).unionByName(at_edge)
 
 
 # ---- rasters and row groups -----------------------------------------------------------------------------------------
@@ -248,7 +261,7 @@ def raster(meta: DataFrame, box: list[float] | None, crs: str | None) -> DataFra
         eps = F.greatest("pixel_w", "pixel_h") / 100
         inside = (F.col("minx") <= box[0] + eps) & (F.col("miny") <= box[1] + eps) & (F.col("maxx") >= box[2] - eps) & (F.col("maxy") >= box[3] - eps)
         checks.append((~inside, "raster.extent_not_contained", F.lit("raster does not contain the manifest's box")))
-    parts = [D.each(meta.where(F.col("label") == label), [c for c in checks if f"raster.{label}" in c[1] or c[1] in ("raster.crs_mismatch", "raster.extent_not_contained")], "Raster", label) for label in RASTER_RULES]
+    parts = [D.each(meta.where(F.col("label") == label), [(*c, "Raster") for c in checks if f"raster.{label}" in c[1] or c[1] in ("raster.crs_mismatch", "raster.extent_not_contained")], label) for label in RASTER_RULES]
     return D.union(parts)
 
 

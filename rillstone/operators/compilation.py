@@ -36,15 +36,6 @@ def group_bounds(n: int, least: int = GROUP_MIN, most: int = GROUP_MAX) -> list[
     return list(zip(starts, starts[1:]))
 
 
-def group_number(position: Column, n: Column, least: int = GROUP_MIN, most: int = GROUP_MAX) -> Column:
-    """The row group, from 0, of a row's position (from 0) among n rows; group_bounds as an expression."""
-    k = F.greatest(F.lit(1), F.floor(n / least))
-    k = F.when(F.ceil(n / k) > most, 1).otherwise(k)
-    small, larger = F.floor(n / k), n % k
-    cut = larger * (small + 1)
-    return F.when(position < cut, F.floor(position / (small + 1))).otherwise(larger + F.floor((position - cut) / small)).cast("long")
-
-
 def guard_ids(df: DataFrame, key: str = "id") -> DataFrame:
     """The table itself, or an error that tells how many ids are null, not positive or repeated."""
     bad = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.count_if(F.col(key).isNull()).alias("null"), F.count_if(F.col(key) <= 0).alias("low"), F.count_if(F.col("n") > 1).alias("again")).first()

@@ -32,26 +32,32 @@ def literal(spark: SparkSession, rows: list[tuple]) -> DataFrame:
 
 def where(df: DataFrame, bad: Column, check_id: str, category: str, artifact: str, message: Column, row: Place = None, severity: str = "ERROR") -> DataFrame:
     """One diagnostic for each row of df for which bad is true."""
-    return each(df, [(bad, check_id, message)], category, artifact, row, severity)
+    return each(df, [(bad, check_id, message, category)], artifact, row, severity)
 
 
-def each(df: DataFrame, checks: list[tuple[Column, str, Column]], category: str, artifact: str, row: Place = None, severity: str = "ERROR") -> DataFrame:
-    """Several row-local checks in one pass over df: (bad, check_id, message)."""
-    found = F.array_compact(F.array(*[F.when(bad, F.struct(F.lit(cid).alias("check_id"), F.lit(k).alias("sub"), msg.alias("message"))) for k, (bad, cid, msg) in enumerate(checks)]))
+#: A row-local rule: where it is broken, its id, the message, and its category.
+Rule = tuple[Column, str, Column, str]
+
+
+def each(df: DataFrame, rules: list[Rule], artifact: str, row: Place = None, severity: str = "ERROR") -> DataFrame:
+    """Any number of row-local rules in one pass over df."""
+    found = F.array_compact(F.array(*[F.when(bad, F.struct(F.lit(cid).alias("check_id"), F.lit(category).alias("category"), F.lit(k).alias("sub"), msg.alias("message"))) for k, (bad, cid, msg, category) in enumerate(rules)]))
     r = place(row).alias("row")
-    return df.select(r, F.explode(found).alias("d")).select("d.check_id", F.lit(severity).alias("severity"), F.lit(category).alias("category"), F.lit(artifact).alias("artifact"), "row", "d.sub", "d.message")
+    return df.select(r, F.explode(found).alias("d")).select("d.check_id", F.lit(severity).alias("severity"), "d.category", F.lit(artifact).alias("artifact"), "row", "d.sub", "d.message")
 
 
 def union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def cap(d: DataFrame, most: int = CAP) -> DataFrame:
-    """The first `most` findings of each check by row, then one row that counts the rest."""
+def cap(d: DataFrame, most: int = CAP, nulls: int = NULL_CAP) -> DataFrame:
+    """The first findings of each check by row, `nulls` of the null checks and `most` of others, then one row that counts
+    the rest. Reads d twice, once for the counts: cut it before if it is costly."""
+    limit = F.when(F.col("check_id").contains(".null_"), nulls).otherwise(most)
     by = Window.partitionBy("check_id", "artifact").orderBy(F.col("row").asc_nulls_last(), "sub", "message")
-    first = d.withColumn("rn", F.row_number().over(by)).where(F.col("rn") <= most).drop("rn")
+    first = d.withColumn("rn", F.row_number().over(by)).where((F.col("rn") <= max(most, nulls)) & (F.col("rn") <= limit)).drop("rn")
     keys = ["check_id", "severity", "category", "artifact"]
-    rest = d.groupBy(*keys).count().where(F.col("count") > most).select(*keys, F.lit(None).cast("long").alias("row"), F.lit(2**31 - 1).alias("sub"), F.format_string("... and %d more", F.col("count") - most).alias("message"))
+    rest = d.groupBy(*keys).count().where(F.col("count") > limit).select(*keys, F.lit(None).cast("long").alias("row"), F.lit(2**31 - 1).alias("sub"), F.format_string("... and %d more", F.col("count") - limit).alias("message"))
     return first.unionByName(rest)
 
 
@@ -60,10 +66,10 @@ def strict(d: DataFrame) -> DataFrame:
     return d.withColumn("severity", F.when(F.col("severity") == "WARN", "ERROR").otherwise(F.col("severity")))
 
 
-def counts(d: DataFrame) -> DataFrame:
-    """errors, warnings, infos, valid: one row, also without findings."""
+def counts(d: DataFrame, *by: str) -> DataFrame:
+    """errors, warnings, infos, valid: one row, also without findings; or one for each value of by."""
     n = lambda s, c: F.count_if(F.col("severity") == s).alias(c)
-    return d.agg(n("ERROR", "errors"), n("WARN", "warnings"), n("INFO", "infos")).withColumn("valid", F.col("errors") == 0)
+    return d.groupBy(*by).agg(n("ERROR", "errors"), n("WARN", "warnings"), n("INFO", "infos")).withColumn("valid", F.col("errors") == 0)
 
 
 def line(d: DataFrame) -> DataFrame:

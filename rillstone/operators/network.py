@@ -57,52 +57,73 @@ def blocked(h: H.Hierarchy) -> DataFrame:
     placed = h.atoms.where("top is not null")
     start = cyc.join(placed, "id").select("top", F.col("lft").alias("at"), "end")
     points = h.space.cut(start.select("top", "at"))
-    reached = front = h.space.cut(start.where("end = 'branch'").select(F.col("top").alias("b")).distinct())
-    while not front.isEmpty():
-        step = links.join(front, "b")
-        points = h.space.cut(points.unionByName(step.select("top", "at")).distinct())
-        front = h.space.cut(step.where("end = 'branch'").select(F.col("top").alias("b")).distinct().join(reached, "b", "left_anti"))
-        reached = h.space.cut(reached.unionByName(front))
+    reached, n = h.space.counted(start.where("end = 'branch'").select(F.col("top").alias("b")).distinct().withColumn("fresh", F.lit(True)), n=F.count_if(F.col("fresh")))
+    while n["n"]:
+        step = h.space.cut(links.join(reached.where("fresh"), "b").select("top", "at", "end"))
+        points = points.unionByName(step.select("top", "at"))
+        more = step.where("end = 'branch'").select(F.col("top").alias("b")).distinct().join(reached, "b", "left_anti").withColumn("fresh", F.lit(True))
+        new, n = h.space.counted(reached.withColumn("fresh", F.lit(False)).unionByName(more), n=F.count_if(F.col("fresh")))
+        h.space.drop(reached)
+        reached = new
+    points = points.distinct()
     below = H.ancestors(h, points.select(F.lit(0).alias("tag"), "top", "at")).select("id")
     return below.unionByName(cyc).distinct()
 
 
-def upstream(h: H.Hierarchy, queries: DataFrame) -> DataFrame:
-    """query_id, id: every atom from which a queried atom is reached, itself included, once each, also through atoms with
-    several downstream atoms. Rounds follow the number of such atoms on a way, not its length.
+def reach(h: H.Hierarchy, queries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(ranges, single): what lies above each queried atom, itself included. ranges: query_id, top, lft, rgt, disjoint for
+    one query; single: query_id, id of atoms without a range, that lead into a ring. No atom of a range is listed, so the
+    answer is as large as the number of trees it comes from.
 
-    Atoms that lead into a ring of atoms with one downstream atom each have no range; for them only themselves are given.
+    A tree whose end, a branch atom, drains into a range is added as a whole. Rounds follow the number of branch atoms on
+    a way, those of rings the logarithm of their atoms' number.
     """
+    space, rows = h.space, F.count(F.lit(1))
+    wanted = queries.select("id").distinct()
     placed = h.atoms.where("top is not null").select("id", "top", "lft", "rgt")
-    links = h.space.cut(h.links.select(F.col("from_id").alias("b"), F.col("to_id").alias("id")).join(placed, "id").select("b", "top", F.col("lft").alias("at")))
+    into = h.links.select(F.col("from_id").alias("b"), F.col("to_id").alias("id"))
+    links = space.cut(into.join(placed, "id").select("b", "top", F.col("lft").alias("at")))
     trees = placed.where("id = top").select(F.col("id").alias("b"), "top", "lft", "rgt")
-    q = queries.select("id").distinct().join(placed, "id")
-    ranges = front = h.space.cut(q.select(F.col("id").alias("query_id"), "top", "lft", "rgt"))
-    seen = h.space.cut(q.where("id = top").select(F.col("id").alias("query_id"), F.col("id").alias("b")))
-    while not front.isEmpty():
-        hit = _stab(front, links).distinct().join(seen, ["query_id", "b"], "left_anti")
-        hit = h.space.cut(hit)
-        seen = h.space.cut(seen.unionByName(hit))
-        front = h.space.cut(hit.join(trees, "b").select("query_id", "top", "lft", "rgt"))
-        ranges = ranges.unionByName(front)
-    found = _spread(ranges, placed.select("id", "top", F.col("lft").alias("at"))).distinct()
-    lost = queries.select("id").distinct().join(h.atoms.where("top is null").select("id"), "id").select(F.col("id").alias("query_id"), "id")
-    return found.unionByName(lost)
-
-
-def all_upstream(h: H.Hierarchy, queries: DataFrame) -> DataFrame:
-    """query_id, id: as upstream, and for atoms that lead into a ring as well all from which they are reached. Rounds
-    follow the logarithm of the number of such atoms."""
-    lost = h.space.cut(h.atoms.where("top is null").select("id", F.col("parent").alias("jump")))
-    found = h.space.cut(queries.select("id").distinct().join(lost.select("id"), "id").select(F.col("id").alias("query_id"), "id"))
-    t = lost
-    for _ in range(lost.count().bit_length()):  # found: fewer than 2^k steps above; jump: the atom 2^k below
-        step = t.join(found.select("query_id", F.col("id").alias("jump")), "jump").select("query_id", "id")
-        found = h.space.cut(found.unionByName(step).distinct())
-        t = h.space.cut(t.join(t.select(F.col("id").alias("jump"), F.col("jump").alias("j2")), "jump").select("id", F.col("j2").alias("jump")))
-    entry = h.space.cut(found.join(h.links.select(F.col("from_id").alias("b"), F.col("to_id").alias("id")), "id").select("query_id", "b").distinct())
-    above = upstream(h, entry.select(F.col("b").alias("id"))).withColumnRenamed("query_id", "b")
-    return upstream(h, queries).unionByName(found).unionByName(entry.join(above, "b").select("query_id", "id")).distinct()
+    # atoms of rings: those fewer than 2^k steps above; jump is the atom 2^k below
+    t, n = space.counted(h.atoms.where("top is null").select("id", F.col("parent").alias("jump")), n=rows)
+    single = space.cut(wanted.join(t.select("id"), "id").select(F.col("id").alias("query_id"), "id"))
+    for _ in range(n["n"].bit_length()):
+        step = t.join(single.select("query_id", F.col("id").alias("jump")), "jump").select("query_id", "id")
+        single = space.cut(single.unionByName(step).distinct())
+        t = space.cut(t.join(t.select(F.col("id").alias("jump"), F.col("jump").alias("j2")), "jump").select("id", F.col("j2").alias("jump")))
+    own = wanted.join(placed, "id").select(F.col("id").alias("query_id"), F.when(F.col("id") == F.col("top"), F.col("id")).alias("b"), "top", "lft", "rgt")
+    entered = single.join(into, "id").select("query_id", "b").distinct().join(trees, "b").select("query_id", "b", "top", "lft", "rgt")
+    # b: the branch atom whose whole tree this is, null for a queried atom within one
+    known, n = space.counted(own.unionByName(entered).withColumn("fresh", F.lit(True)), n=F.count_if(F.col("fresh")))
+    while n["n"]:
+        hit = _stab(known.where("fresh").select("query_id", "top", "lft", "rgt"), links, h.levels).distinct()
+        hit = hit.join(known.where("b is not null").select("query_id", "b"), ["query_id", "b"], "left_anti").join(trees, "b").select("query_id", "b", "top", "lft", "rgt", F.lit(True).alias("fresh"))
+        new, n = space.counted(known.withColumn("fresh", F.lit(False)).unionByName(hit), n=F.count_if(F.col("fresh")))
+        space.drop(known)
+        known = new
+    # a queried atom's own range may lie within a tree that was added as a whole
+    ranges = known.groupBy("query_id", "top").agg(F.min("lft").alias("lft"), F.max("rgt").alias("rgt"))
+    return space.cut(ranges), single
+
+
+def upstream(h: H.Hierarchy, queries: DataFrame) -> DataFrame:
+    """query_id, id: every atom from which a queried atom is reached, itself included, once each."""
+    ranges, single = reach(h, queries)
+    placed = h.atoms.where("top is not null").select("id", "top", F.col("lft").alias("at"))
+    return _spread(ranges, placed).unionByName(single)
+
+
+def upstream_totals(h: H.Hierarchy, queries: DataFrame, values: DataFrame, column: str) -> DataFrame:
+    """query_id, n_atoms, total: how many atoms lie above each queried atom, itself included, and the sum of their values,
+    from two positions of a running sum for each range: the atoms themselves are not listed."""
+    ranges, single = reach(h, queries)
+    run = _running(h, values, column)
+    hi = run.select("top", F.col("lft").alias("rgt"), F.col("upto").alias("last"))
+    lo = run.select("top", "lft", (F.col("upto") - F.col("v")).alias("before"))
+    part = ranges.join(hi, ["top", "rgt"]).join(lo, ["top", "lft"]).select("query_id", (F.col("rgt") - F.col("lft") + 1).alias("n"), (F.col("last") - F.col("before")).alias("t"))
+    zero = F.lit(0).cast(_MONEY)
+    alone = single.join(values.select("id", F.col(column).cast(_MONEY).alias("v")), "id", "left").select("query_id", F.lit(1).cast("long").alias("n"), F.coalesce("v", zero).alias("t"))
+    return part.unionByName(alone).groupBy("query_id").agg(F.sum("n").alias("n_atoms"), F.sum("t").alias("total"))
 
 
 def all_downstream(h: H.Hierarchy, queries: DataFrame) -> DataFrame:
@@ -111,25 +132,29 @@ def all_downstream(h: H.Hierarchy, queries: DataFrame) -> DataFrame:
     places = h.atoms.select("id", "top", F.col("lft").alias("at"))
     links = h.space.cut(h.links.select(F.col("from_id").alias("b"), F.col("to_id").alias("id")).join(places, "id"))
     points = h.space.cut(queries.select("id").distinct().join(places, "id").select(F.col("id").alias("tag"), "id", "top", "at"))
-    front = seen = h.space.cut(points.where("top is not null").select("tag", "top").distinct())
-    while not front.isEmpty():
-        step = h.space.cut(front.select("tag", F.col("top").alias("b")).join(links, "b").select("tag", "id", "top", "at").distinct())
-        points = h.space.cut(points.unionByName(step).distinct())
-        front = h.space.cut(step.where("top is not null").select("tag", "top").distinct().join(seen, ["tag", "top"], "left_anti"))
-        seen = h.space.cut(seen.unionByName(front))
-    t = h.space.cut(h.atoms.where("top is null").select("id", F.col("parent").alias("jump")))
+    fresh = F.count_if(F.col("fresh"))
+    seen, n = h.space.counted(points.where("top is not null").select("tag", "top", F.lit(True).alias("fresh")).distinct(), n=fresh)
+    while n["n"]:
+        step = h.space.cut(seen.where("fresh").select("tag", F.col("top").alias("b")).join(links, "b").select("tag", "id", "top", "at").distinct())
+        points = points.unionByName(step)
+        more = step.where("top is not null").select("tag", "top").distinct().join(seen, ["tag", "top"], "left_anti").withColumn("fresh", F.lit(True))
+        new, n = h.space.counted(seen.withColumn("fresh", F.lit(False)).unionByName(more), n=fresh)
+        h.space.drop(seen)
+        seen = new
+    points = h.space.cut(points.distinct())
+    t, n = h.space.counted(h.atoms.where("top is null").select("id", F.col("parent").alias("jump")), n=F.count(F.lit(1)))
     found = h.space.cut(points.where("top is null").select("tag", "id"))
-    for _ in range(t.count().bit_length()):
+    for _ in range(n["n"].bit_length()):
         found = h.space.cut(found.unionByName(found.join(t, "id").select("tag", F.col("jump").alias("id"))).distinct())
         t = h.space.cut(t.join(t.select(F.col("id").alias("jump"), F.col("jump").alias("j2")), "jump").select("id", F.col("j2").alias("jump")))
     below = H.ancestors(h, points.where("top is not null").select("tag", "top", "at"))
     return below.unionByName(found).distinct().select(F.col("tag").alias("query_id"), "id")
 
 
-def _stab(ranges: DataFrame, points: DataFrame) -> DataFrame:
+def _stab(ranges: DataFrame, points: DataFrame, levels: int) -> DataFrame:
     """query_id, b: points (b, top, at) that lie in a range (query_id, top, lft, rgt), by dyadic blocks."""
     r = ranges.select("query_id", "top", F.explode(H._cover(F.col("lft"), F.col("rgt"))).alias("c")).select("query_id", "top", "c.level", "c.block")
-    p = points.select("b", "top", "at", F.explode(F.sequence(F.lit(0), F.lit(44))).alias("level")).select("b", "top", "level", F.floor(F.col("at") / F.pow(F.lit(2), F.col("level"))).cast("long").alias("block"))
+    p = points.select("b", "top", "at", F.explode(F.sequence(F.lit(0), F.lit(levels))).alias("level")).select("b", "top", "level", F.expr("shiftright(at, level)").alias("block"))
     return r.join(p, ["top", "level", "block"]).select("query_id", "b")
 
 
@@ -138,15 +163,23 @@ def _spread(ranges: DataFrame, atoms: DataFrame, bits: int = 10) -> DataFrame:
     return r.join(atoms.withColumn("block", F.shiftright("at", bits)), ["top", "block"]).where("at between lft and rgt").select("query_id", "id")
 
 
-def subtree_sums(h: H.Hierarchy, values: DataFrame, column: str) -> DataFrame:
-    """id, total: the sum over an atom and the atoms of its tree above it, from two positions of a running sum. The
-    running sum is taken in blocks of 1,024 positions and over the blocks, so no tree is summed in one task."""
-    bits = 10
-    a = h.atoms.where("top is not null").select("id", "top", "lft", "rgt").join(values.select("id", F.coalesce(F.col(column).cast("decimal(38,6)"), F.lit(0).cast("decimal(38,6)")).alias("v")), "id", "left")
-    a = a.withColumn("v", F.coalesce("v", F.lit(0).cast("decimal(38,6)"))).withColumn("block", F.shiftright("lft", bits))
+_MONEY = "decimal(38,6)"
+
+
+def _running(h: H.Hierarchy, values: DataFrame, column: str) -> DataFrame:
+    """top, id, lft, rgt, v, upto: the sum of values of a tree up to each position. It is taken in blocks of 1,024
+    positions and over the blocks, so no tree is summed in one task. A missing value counts as 0."""
+    zero = F.lit(0).cast(_MONEY)
+    a = h.atoms.where("top is not null").select("id", "top", "lft", "rgt").join(values.select("id", F.col(column).cast(_MONEY).alias("v")), "id", "left")
+    a = a.withColumn("v", F.coalesce("v", zero)).withColumn("block", F.shiftright("lft", 10))
     blocks = a.groupBy("top", "block").agg(F.sum("v").alias("s"))
-    skip = blocks.select("top", "block", (F.sum("s").over(Window.partitionBy("top").orderBy("block")) - F.col("s")).alias("skip"))
+    skip = blocks.select("top", "block", (F.sum("s").over(Window.partitionBy("top").orderBy("block")) - F.col("s")).cast(_MONEY).alias("skip"))
     inner = Window.partitionBy("top", "block").orderBy("lft")
-    run = h.space.cut(a.withColumn("here", F.sum("v").over(inner)).join(skip, ["top", "block"]).select("id", "top", "lft", "rgt", "v", (F.col("here") + F.col("skip")).alias("upto")))
+    return h.space.cut(a.withColumn("here", F.sum("v").over(inner)).join(skip, ["top", "block"]).select("id", "top", "lft", "rgt", "v", (F.col("here") + F.col("skip")).cast(_MONEY).alias("upto")))
+
+
+def subtree_sums(h: H.Hierarchy, values: DataFrame, column: str) -> DataFrame:
+    """id, total: the sum over an atom and the atoms of its tree above it, from two positions of a running sum."""
+    run = _running(h, values, column)
     end = run.select("top", F.col("lft").alias("rgt"), F.col("upto").alias("last"))
     return run.join(end, ["top", "rgt"]).select("id", (F.col("last") - F.col("upto") + F.col("v")).alias("total"))

@@ -56,7 +56,11 @@ def ranked(candidates: DataFrame, most: int) -> DataFrame:
     return candidates.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= most)
 
 
+def one_area(catchments: DataFrame) -> DataFrame:
+    """id, a: one valid area of each atom, the largest; atoms without one are left out."""
+    return catchments.where("area_km2 >= 0 and area_km2 < float('inf')").groupBy("id").agg(F.max(F.col("area_km2").cast("double")).alias("a"))
+
+
 def summary(upstream: DataFrame, catchments: DataFrame) -> DataFrame:
     """query_id, n_atoms, area_km2: the watershed of each outlet atom; upstream: query_id, id; one area per atom."""
-    area = catchments.where("area_km2 >= 0 and area_km2 < float('inf')").groupBy("id").agg(F.max(F.col("area_km2").cast("double")).alias("a"))
-    return upstream.join(area, "id", "left").groupBy("query_id").agg(F.count(F.lit(1)).alias("n_atoms"), F.sum(F.coalesce("a", F.lit(0.0)).cast("decimal(28,6)")).alias("area_km2"))
+    return upstream.join(one_area(catchments), "id", "left").groupBy("query_id").agg(F.count(F.lit(1)).alias("n_atoms"), F.sum(F.coalesce("a", F.lit(0.0)).cast("decimal(28,6)")).alias("area_km2"))

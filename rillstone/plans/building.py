@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,9 +67,13 @@ def fabric_name(spark: SparkSession, d: str) -> DataFrame:
 @query("""with n as (select basin, count(*) * 37 n from catchments group by 1), k as (select basin, n, case when ceil(n / greatest(1, floor(n / 4096))) > 8192 then 1 else greatest(1, floor(n / 4096)) end k from n)
 select basin, i::bigint as group_no, (floor(n / k) + case when i < n % k then 1 else 0 end)::bigint size from k, unnest(range(k::bigint)) t(i)""")
 def row_group_bounds(spark: SparkSession, d: str) -> DataFrame:
+    def run(frames):
+        for pdf in frames:
+            rows = [(b, k, stop - start) for b, n in zip(pdf["basin"], pdf["n"]) for k, (start, stop) in enumerate(compilation.group_bounds(int(n)))]
+            yield pd.DataFrame(rows, columns=["basin", "group_no", "size"])
+
     n = table(spark, d, "catchments", "basin").groupBy("basin").agg((F.count(F.lit(1)) * 37).alias("n"))
-    rows = n.select("basin", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("position"))
-    return rows.groupBy("basin", compilation.group_number(F.col("position"), F.col("n")).alias("group_no")).agg(F.count(F.lit(1)).alias("size"))
+    return n.mapInPandas(run, "basin int, group_no long, size long")
 
 
 @query()

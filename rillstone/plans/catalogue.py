@@ -11,7 +11,6 @@ from rillstone.sources.tables import table
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
-NO_ROW = None
 
 
 def query(sql: str | None = None):
@@ -46,24 +45,29 @@ _ZERO = "'id is 0, which is reserved for the terminal sink'"
 @query(_counted(_case([("id = 0", "ids.catchment_zero", _ZERO), ("id < 0", "ids.catchment_negative", "'id ' || id || ' is negative'")], "catchments") + " union all " + _case([("id = 0", "ids.graph_zero", _ZERO), ("id < 0", "ids.graph_negative", "'id ' || id || ' is negative'")], "graph_arrow") + " union all " + _case([("o_orderkey = 0", "ids.order_zero", _ZERO), ("o_orderkey < 0", "ids.order_negative", "''")], "orders")))
 def id_signs(spark: SparkSession, d: str) -> DataFrame:
     c, g, o = (table(spark, d, t, k) for t, k in (("catchments", "id"), ("graph_arrow", "id"), ("orders", "o_orderkey")))
-    parts = [checks.id_signs(c, "catchments", "catchment", row=NO_ROW), checks.id_signs(g, "graph", "graph", row=NO_ROW), checks.id_signs(o, "orders", "order", "o_orderkey", NO_ROW)]
+    parts = [D.each(c, checks.id_rules("catchment"), "catchments"), D.each(g, checks.id_rules("graph"), "graph"), D.each(o, checks.id_rules("order", "o_orderkey"), "orders")]
     return _n(D.union(parts))
 
 
-@query("select 'catchments' src, id, count(*) - 1 surplus from catchments where id > 0 group by id having count(*) > 1 union all select 'graph', id, count(*) - 1 from graph_arrow where id > 0 group by id having count(*) > 1 union all select 'snap', id, count(*) - 1 from snap where id > 0 group by id having count(*) > 1")
+def _again_sql(t: str, prefix: str) -> str:
+    rows = f"(select id, row_number() over () - 1 r from {t})"
+    return f"select 'ids.{prefix}_duplicate' check_id, r as row, 'id ' || id || ' occurs again; first in row ' || f as message from (select *, min(r) over (partition by id) f from {rows} where id > 0) where r > f"
+
+
+@query(" union all ".join(_again_sql(t, p) for t, p in (("catchments", "catchment"), ("graph_arrow", "graph"), ("snap", "snap"))))
 def id_duplicate(spark: SparkSession, d: str) -> DataFrame:
-    parts = [checks.duplicate_counts(table(spark, d, t, "id")).select(F.lit(s).alias("src"), "id", "surplus") for t, s in (("catchments", "catchments"), ("graph_arrow", "graph"), ("snap", "snap"))]
-    return D.union(parts)
+    parts = [checks.duplicates(checks.with_row(table(spark, d, t)).select("id", "_row"), a, p) for t, a, p in (("catchments", "catchments", "catchment"), ("graph_arrow", "graph", "graph"), ("snap", "snap", "snap"))]
+    return D.union(parts).select("check_id", "row", "message")
 
 
 @query(_counted("select case when u = 0 then 'ids.upstream_zero' else 'ids.upstream_negative' end check_id, case when u = 0 then 'entry ' || pos || ' is 0' else 'entry ' || pos || ' is negative: ' || u end as message from (select coalesce(u, 0) u, pos from (select unnest(upstream_ids) u, unnest(range(len(upstream_ids))) pos from graph_arrow)) where u <= 0"))
 def upstream_entry_signs(spark: SparkSession, d: str) -> DataFrame:
-    return _n(checks.upstream_entries(table(spark, d, "graph_arrow", "upstream_ids"), NO_ROW))
+    return _n(checks.upstream_entries(table(spark, d, "graph_arrow", "upstream_ids"), None))
 
 
 @query(_counted(_case([("id <= 0", "ids.snap_id", "'id ' || id || ' is not positive'"), ("catchment_id <= 0", "ids.snap_catchment_id", "'catchment_id ' || catchment_id || ' is not positive'")], "snap")))
 def snap_ids(spark: SparkSession, d: str) -> DataFrame:
-    return _n(checks.snap_ids(table(spark, d, "snap", "id", "catchment_id"), NO_ROW))
+    return _n(D.each(table(spark, d, "snap", "id", "catchment_id"), checks.snap_id_rules(), "snap"))
 
 
 def _sign_sql(t: str, c: str, cid: str) -> str:
@@ -72,8 +76,8 @@ def _sign_sql(t: str, c: str, cid: str) -> str:
 
 @query(_sign_sql("catchments", "area_km2", "ids.catchment_area") + " union all " + _sign_sql("snap", "weight", "ids.snap_weight"))
 def measure_invalid(spark: SparkSession, d: str) -> DataFrame:
-    a = checks.measure(table(spark, d, "catchments", "area_km2"), "area_km2", "ids.catchment_area", "catchments", NO_ROW)
-    w = checks.measure(table(spark, d, "snap", "weight"), "weight", "ids.snap_weight", "snap", NO_ROW)
+    a = D.each(table(spark, d, "catchments", "area_km2"), checks.measure_rules("area_km2", "ids.catchment_area"), "catchments")
+    w = D.each(table(spark, d, "snap", "weight"), checks.measure_rules("weight", "ids.snap_weight"), "snap")
     return a.unionByName(w).groupBy("check_id", F.when(F.col("sub") == 0, "not finite").otherwise("negative").alias("kind")).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -90,30 +94,40 @@ def _box_sql(t: str, cid: str, strictly: bool) -> str:
 
 @query(_box_sql("catchments", "ids.catchment_bbox", True))
 def bbox_strict(spark: SparkSession, d: str) -> DataFrame:
-    return _n(checks.box(table(spark, d, "catchments", *checks.BOX), "catchments", "catchment", True, NO_ROW))
+    return _n(D.each(table(spark, d, "catchments", *checks.BOX), checks.box_rules("catchment", True), "catchments"))
 
 
 @query(_box_sql("snap", "ids.snap_bbox", False))
 def bbox_nonstrict(spark: SparkSession, d: str) -> DataFrame:
-    return _n(checks.box(table(spark, d, "snap", *checks.BOX), "snap", "snap", False, NO_ROW))
+    return _n(D.each(table(spark, d, "snap", *checks.BOX), checks.box_rules("snap", False), "snap"))
+
+
+def _listed(capped: DataFrame) -> DataFrame:
+    """check_id, listed, more: how many findings of each check are listed, and how many the last row stands for."""
+    rest = F.col("sub") == 2**31 - 1
+    more = F.max(F.when(rest, F.regexp_extract("message", r"(\d+)", 1).cast("long")))
+    return capped.groupBy("check_id").agg(F.count_if(~rest).alias("listed"), F.coalesce(more, F.lit(0)).alias("more"))
+
+
+def _nulls_sql(t: str, artifact: str, required: dict[str, list[str]]) -> str:
+    return " union all ".join(f"select '{artifact}.null_{k}' check_id, count(*) n from {t} where {' or '.join(f'{c} is null' for c in cols)}" for k, cols in required.items())
+
 
+_REQUIRED = {
+    "catchments": ("catchments", {"id": ["id"], "area_km2": ["area_km2"], "bbox": list(checks.BOX), "geometry": ["geometry"]}),
+    "graph_arrow": ("graph", {"id": ["id"], "upstream_ids": ["upstream_ids"]}),
+    "snap": ("snap", {"id": ["id"], "catchment_id": ["catchment_id"], "weight": ["weight"], "is_mainstem": ["is_mainstem"], "bbox": list(checks.BOX), "geometry": ["geometry"]}),
+}
 
-@query("select 'catchments' src, column_name, n from (unpivot (select count(*) - count(area_km2) area_km2, count(*) - count(geometry) geometry, count(*) filter (bbox_minx is null or bbox_miny is null or bbox_maxx is null or bbox_maxy is null) bbox from catchments) on columns(*) into name column_name value n) where n > 0")
+
+@query(f"select check_id, least(n, 10) listed, greatest(n - 10, 0) more from ({' union all '.join(_nulls_sql(t, a, r) for t, (a, r) in _REQUIRED.items())}) where n > 0")
 def null_required(spark: SparkSession, d: str) -> DataFrame:
-    c = table(spark, d, "catchments", "area_km2", "geometry", *checks.BOX)
-    req = {"area_km2": ["area_km2"], "geometry": ["geometry"], "bbox": list(checks.BOX)}
-    bad = []
-    for name, cols in req.items():
-        miss = F.lit(False)
-        for x in cols:
-            miss = miss | F.col(x).isNull()
-        bad.append((miss, name, F.lit("")))
-    return D.each(c, bad, "Schema", "catchments").groupBy(F.lit("catchments").alias("src"), F.col("check_id").alias("column_name")).agg(F.count(F.lit(1)).alias("n"))
-
-
-@query("select count(*) filter (up_area_km2 is null) n_null, count(*) n_rows from catchments")
+    return _listed(D.cap(D.union([D.each(table(spark, d, t), checks.null_rules(a, r), a) for t, (a, r) in _REQUIRED.items()])))
+
+
+@query("select 'values.up_area_consistency' check_id, n || ' of ' || total || ' rows have no up_area_km2' as message from (select count(*) filter (up_area_km2 is null) n, count(*) total from catchments) where n > 0")
 def up_area_nulls(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "catchments", "up_area_km2").agg(F.count_if(F.col("up_area_km2").isNull()).alias("n_null"), F.count(F.lit(1)).alias("n_rows"))
+    return checks.up_area(table(spark, d, "catchments", "up_area_km2"), True).select("check_id", "message")
 
 
 _FINITE = " and ".join(f"{c} is not null and not isnan({c}) and not isinf({c})" for c in checks.BOX)
@@ -121,29 +135,23 @@ _FINITE = " and ".join(f"{c} is not null and not isnan({c}) and not isinf({c})"
 
 @query(f"select basin, min(bbox_minx::double) minx, min(bbox_miny::double) miny, max(bbox_maxx::double) maxx, max(bbox_maxy::double) maxy from catchments where {_FINITE} group by basin")
 def bbox_union(spark: SparkSession, d: str) -> DataFrame:
-    c = table(spark, d, "catchments", "basin", *checks.BOX)
-    good = F.lit(True)
-    for x in checks.BOX:
-        good = good & checks.finite(x)
-    return c.where(good).groupBy("basin").agg(*[(F.min if "min" in x else F.max)(F.col(x).cast("double")).alias(x[5:]) for x in checks.BOX])
+    return checks.union_box(table(spark, d, "catchments", "basin", *checks.BOX), "basin")
 
 
 @query(f"""with u as (select basin, min(bbox_minx::double) minx, min(bbox_miny::double) miny, max(bbox_maxx::double) maxx, max(bbox_maxy::double) maxy from catchments where {_FINITE} group by basin)
-select basin, side from (select m.basin, unnest([case when minx < bbox[1] then 'west' end, case when miny < bbox[2] then 'south' end, case when maxx > bbox[3] then 'east' end, case when maxy > bbox[4] then 'north' end]) side
+select basin, 'catchments reach beyond the manifest''s box in the ' || side as message from (select m.basin, unnest([case when minx < bbox[1] then 'west' end, case when miny < bbox[2] then 'south' end, case when maxx > bbox[3] then 'east' end, case when maxy > bbox[4] then 'north' end]) side
 from manifest m join u using (basin) where len(bbox) = 4) where side is not null""")
 def bbox_enclosure(spark: SparkSession, d: str) -> DataFrame:
     m = table(spark, d, "manifest", "basin", "bbox").where(F.size("bbox") == 4)
-    j = bbox_union(spark, d).join(m, "basin")
-    at = lambda i: F.col("bbox")[i]
-    sides = F.array_compact(F.array(F.when(F.col("minx") < at(0), "west"), F.when(F.col("miny") < at(1), "south"), F.when(F.col("maxx") > at(2), "east"), F.when(F.col("maxy") > at(3), "north")))
-    return j.select("basin", F.explode(sides).alias("side"))
+    found = checks.enclosure(checks.union_box(table(spark, d, "catchments", "basin", *checks.BOX), "basin").join(m, "basin"), F.col("basin"))
+    return found.select(F.col("row").cast("int").alias("basin"), "message")
 
 
-@query("select m.basin, atom_count as declared, coalesce(n, 0) as n_rows from manifest m left join (select basin, count(*) n from catchments group by 1) c using (basin) where atom_count is distinct from coalesce(n, 0)")
+@query("select m.basin, 'manifest declares ' || coalesce(atom_count::varchar, 'no number of') || ' atoms, catchments has ' || coalesce(n, 0) || ' rows' as message from manifest m left join (select basin, count(*) n from catchments group by 1) c using (basin) where atom_count is distinct from coalesce(n, 0)")
 def atom_count_mismatch(spark: SparkSession, d: str) -> DataFrame:
     n = table(spark, d, "catchments", "basin").groupBy("basin").agg(F.count(F.lit(1)).alias("n"))
-    m = table(spark, d, "manifest", "basin", "atom_count").join(n, "basin", "left").select("basin", F.col("atom_count").alias("declared"), F.coalesce("n", F.lit(0)).alias("n_rows"))
-    return m.where(~F.col("declared").eqNullSafe(F.col("n_rows")))
+    counts = table(spark, d, "manifest", "basin", "atom_count").join(n, "basin", "left").select("basin", F.col("atom_count").alias("declared"), F.coalesce("n", F.lit(0)).alias("n"))
+    return checks.atom_count(counts, F.col("basin")).select(F.col("row").cast("int").alias("basin"), "message")
 
 
 # ---- references -----------------------------------------------------------------------------------------------------
@@ -155,11 +163,11 @@ def coverage_both_ways(spark: SparkSession, d: str) -> DataFrame:
     return found.select("check_id", F.col("row").alias("id"))
 
 
-@query("select id, u as ref, count(*) n from (select id, unnest(upstream_ids) u from graph_arrow) where u is not null and u not in (select id from catchments where id is not null) group by all")
+@query("select id, 'upstream id ' || u || ' is not in catchments' as message, count(*) n from (select id, unnest(upstream_ids) u from graph_arrow) where u is not null and u not in (select id from catchments where id is not null) group by all")
 def upstream_dangling(spark: SparkSession, d: str) -> DataFrame:
     refs = table(spark, d, "graph_arrow", "id", "upstream_ids").select("id", F.explode("upstream_ids").alias("ref"))
-    parents = table(spark, d, "catchments", "id").where("id is not null").select(F.col("id").alias("ref")).distinct()
-    return refs.where("ref is not null").join(parents, "ref", "left_anti").groupBy("id", "ref").agg(F.count(F.lit(1)).alias("n"))
+    found = checks.dangling(refs, table(spark, d, "catchments", "id"), "referential.upstream_not_in_catchments", "upstream id", F.col("id"))
+    return found.groupBy(F.col("row").alias("id"), "message").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("select catchment_id as ref, count(*) n from snap where catchment_id is not null and catchment_id not in (select id from catchments where id is not null) group by all")
@@ -198,23 +206,29 @@ def manifest_checks(spark: SparkSession, d: str) -> DataFrame:
     return checks.manifest(table(spark, d, "manifest"), F.col("basin")).select(F.col("row").cast("int").alias("basin"), "check_id")
 
 
-@query(f"select check_id, case when check_id in ('manifest.crs', 'manifest.bbox') then 'WARN' else 'ERROR' end severity, count(*) n from ({_MANIFEST_SQL}) group by all")
+_WARNED = ("manifest.crs", "manifest.bbox")
+
+
+def _manifest_findings(spark: SparkSession, d: str) -> DataFrame:
+    """Two of the checks as warnings, so that both severities occur."""
+    m = checks.manifest(table(spark, d, "manifest"), F.col("basin"))
+    return m.withColumn("severity", F.when(F.col("check_id").isin(*_WARNED), "WARN").otherwise(F.col("severity")))
+
+
+@query(f"select check_id, count(*) filter (check_id not in {_WARNED}) errors, count(*) filter (check_id in {_WARNED}) warnings, 0::bigint infos, count(*) filter (check_id not in {_WARNED}) = 0 valid from ({_MANIFEST_SQL}) group by 1")
 def severity_counts(spark: SparkSession, d: str) -> DataFrame:
-    m = manifest_checks(spark, d)
-    return m.groupBy("check_id", F.when(F.col("check_id").isin("manifest.crs", "manifest.bbox"), "WARN").otherwise("ERROR").alias("severity")).agg(F.count(F.lit(1)).alias("n"))
+    return D.counts(_manifest_findings(spark, d), "check_id")
 
 
 @query(f"select 'ERROR' severity, count(*) n from ({_MANIFEST_SQL})")
 def strict_promotion(spark: SparkSession, d: str) -> DataFrame:
-    m = manifest_checks(spark, d).withColumn("severity", F.when(F.col("check_id").isin("manifest.crs", "manifest.bbox"), "WARN").otherwise("ERROR"))
-    return D.strict(m).groupBy("severity").agg(F.count(F.lit(1)).alias("n"))
+    return D.strict(_manifest_findings(spark, d)).groupBy("severity").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("select check_id, least(n, 100) listed, greatest(n - 100, 0) more from (select 'ids.catchment_area' check_id, count(*) n from catchments where isnan(area_km2) or isinf(area_km2) or area_km2 < 0) where n > 0")
 def violation_cap(spark: SparkSession, d: str) -> DataFrame:
-    capped = D.cap(checks.measure(checks.with_row(table(spark, d, "catchments")), "area_km2", "ids.catchment_area", "catchments"))
-    more = F.max(F.when(F.col("sub") == 2**31 - 1, F.regexp_extract("message", r"(\d+)", 1).cast("long")))
-    return capped.groupBy("check_id").agg(F.count_if(F.col("sub") != 2**31 - 1).alias("listed"), F.coalesce(more, F.lit(0)).alias("more"))
+    found = D.each(checks.with_row(table(spark, d, "catchments")), checks.measure_rules("area_km2", "ids.catchment_area"), "catchments", checks.ROW)
+    return _listed(D.cap(found))
 
 
 @query("""with g as (select geometry, octet_length(geometry) n, hex(geometry) h from catchments where geometry is not null),
@@ -229,6 +243,6 @@ def geometry_headers(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def geometry_checks(spark: SparkSession, d: str) -> DataFrame:
-    c = checks.geometry(table(spark, d, "catchments", "geometry"), "catchments", "catchment", (3, 6), NO_ROW)
-    s = checks.geometry(table(spark, d, "snap", "geometry"), "snap", "snap", (1, 2), NO_ROW)
+    c = checks.geometry(table(spark, d, "catchments", "geometry"), "catchments", "catchment", (3, 6), None)
+    s = checks.geometry(table(spark, d, "snap", "geometry"), "snap", "snap", (1, 2), None)
     return c.unionByName(s).groupBy("check_id").agg(F.count(F.lit(1)).alias("n"))

@@ -74,9 +74,20 @@ def p1_profile(spark: SparkSession, d: str) -> DataFrame:
     return profile.full_profile(_profiled(spark, d))
 
 
+@query(
+    " union all ".join(
+        f"select '{t}' src_table, '{c}' column_name, count(*) n_rows, count(*) - count({c}) n_null, count(distinct {c}::double) n_distinct, min({c}::double) filter (not isnan({c})) min_value, max({c}::double) filter (not isnan({c})) max_value from {t}"
+        for t, cols in PROFILED.items()
+        for c in cols
+    )
+)
+def p1_columns(spark: SparkSession, d: str) -> DataFrame:
+    return profile.column_profile(_profiled(spark, d))
+
+
 @query()
 def p1_chunks(spark: SparkSession, d: str) -> DataFrame:
-    parts = [profile.chunk_statistics(df, cols).withColumn("src_table", F.lit(t)).drop("path") for t, (df, cols) in _profiled(spark, d).items()]
+    parts = [profile.chunk_plan(df, cols).withColumn("src_table", F.lit(t)).drop("path") for t, (df, cols) in _profiled(spark, d).items()]
     return parts[0].unionByName(parts[1])
 
 
@@ -253,15 +264,18 @@ e as (select distinct u, v from (select unnest(upstream_ids) u, id v from graph_
 roots as (select id from n where id not in (select u from e)),
 """
 
-
-@query(
-    _P5
-    + """p(atom_id, root_id, steps) using key (atom_id, root_id) as (
+_P5_STEPS = """p(atom_id, root_id, steps) using key (atom_id, root_id) as (
   select id, id, cast(0 as bigint) from roots
   union
   select e.u, p.root_id, min(p.steps) + 1 from p join e on e.v = p.atom_id
   where not exists (select 1 from recurring.p q where q.atom_id = e.u and q.root_id = p.root_id) group by 1, 2),
-core as (select u, v from e where u in (select v from e) and v in (select u from e)),
+"""
+
+
+@query(
+    _P5
+    + _P5_STEPS
+    + """core as (select u, v from e where u in (select v from e) and v in (select u from e)),
 reach(a, b) as (select u, v from core union select r.a, c.v from reach r join core c on c.u = r.b),
 onc as (select distinct a from reach where a = b),
 scc as (select x.a, y.a b from onc x join reach r on r.a = x.a join onc y on y.a = r.b join reach s on s.a = y.a and s.b = x.a)
@@ -273,6 +287,18 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return hierarchy.outlets(h).select(F.lit("path").alias("kind"), "atom_id", "root_id", "steps").unionByName(hierarchy.cycles(h).select(F.lit("cycle").alias("kind"), "atom_id", "root_id", "steps"))
 
 
+@query(
+    _P5
+    + _P5_STEPS
+    + """nxt as (select a.atom_id u, a.root_id r, min(e.v) v from p a join e on e.u = a.atom_id join p z on z.atom_id = e.v and z.root_id = a.root_id and z.steps = a.steps - 1 group by 1, 2),
+walk(q, r, cur, step) as (select atom_id, root_id, atom_id, cast(0 as bigint) from p where atom_id % 50 = 0 union all select q, walk.r, v, step + 1 from walk join nxt on u = cur and nxt.r = walk.r)
+select q atom_id, r root_id, max(step) steps, list(cur order by step) path from walk group by 1, 2"""
+)
+def p5_paths(spark: SparkSession, d: str) -> DataFrame:
+    h = _hierarchy(spark, d)
+    return hierarchy.paths(h, h.atoms.where("id % 50 = 0").select("id"))
+
+
 #: Over all edges, through atoms with several downstream atoms and round rings; queries are the ids divisible by 50.
 UP_SQL = _P5 + "up(q, id) as (select id, id from n where id % 50 = 0 union select up.q, e.u from up join e on e.v = up.id)"
 _DOWN_SQL = _P5 + "down(q, id) as (select id, id from n where id % 50 = 0 union select down.q, e.v from down join e on e.u = down.id)"
@@ -281,7 +307,7 @@ _DOWN_SQL = _P5 + "down(q, id) as (select id, id from n where id % 50 = 0 union
 @query(UP_SQL + " select q query_id, id from up where id <> q")
 def p5_descendants(spark: SparkSession, d: str) -> DataFrame:
     h = _hierarchy(spark, d)
-    return network.all_upstream(h, h.atoms.where("id % 50 = 0").select("id")).where("id <> query_id")
+    return network.upstream(h, h.atoms.where("id % 50 = 0").select("id")).where("id <> query_id")
 
 
 @query(_DOWN_SQL + " select q query_id, id from down")

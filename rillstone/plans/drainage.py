@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillstone.operators import boxes, hierarchy, network, snapping
+from rillstone.operators import boxes, network, snapping
 from rillstone.plans.data_quality import _P5, UP_SQL as _UP, _hierarchy
 from rillstone.sources.schemas import BOX
 from rillstone.sources.tables import table
@@ -61,18 +61,7 @@ def cycle_nodes(spark: SparkSession, d: str) -> DataFrame:
 @query(_UP + " select q query_id, id from up")
 def bfs_upstream(spark: SparkSession, d: str) -> DataFrame:
     h = _hierarchy(spark, d)
-    return network.upstream(h, h.atoms.where("id % 50 = 0 and top is not null").select("id")).unionByName(_ring_upstream(h))
-
-
-def _ring_upstream(h: hierarchy.Hierarchy) -> DataFrame:
-    """Queried atoms that lead into a ring: all that reach them, step by step; such parts are cut off from every tree."""
-    e = h.atoms.where("top is null").select("id", "parent").unionByName(h.links.select(F.col("from_id").alias("id"), F.col("to_id").alias("parent"))).unionByName(h.atoms.where("top is not null and parent is not null").select("id", "parent"))
-    front = found = h.space.cut(h.atoms.where("id % 50 = 0 and top is null").select(F.col("id").alias("query_id"), "id"))
-    while not front.isEmpty():
-        step = e.join(front.select("query_id", F.col("id").alias("parent")), "parent").select("query_id", "id").distinct()
-        front = h.space.cut(step.join(found, ["query_id", "id"], "left_anti"))
-        found = h.space.cut(found.unionByName(front))
-    return found
+    return network.upstream(h, h.atoms.where("id % 50 = 0").select("id"))
 
 
 _AREA = "ar as (select id, max(area_km2::double) a from catchments where area_km2 >= 0 and area_km2 < 'inf'::float group by 1)"
@@ -80,7 +69,9 @@ _AREA = "ar as (select id, max(area_km2::double) a from catchments where area_km
 
 @query(_UP + ", " + _AREA + " select q query_id, count(*) n_atoms, sum(cast(coalesce(a, 0) as decimal(28,6))) area_km2 from up left join ar using (id) group by 1")
 def delineate_summary(spark: SparkSession, d: str) -> DataFrame:
-    return snapping.summary(bfs_upstream(spark, d), table(spark, d, "catchments", "id", "area_km2"))
+    h = _hierarchy(spark, d)
+    found = network.upstream_totals(h, h.atoms.where("id % 50 = 0").select("id"), snapping.one_area(table(spark, d, "catchments", "id", "area_km2")), "a")
+    return found.select("query_id", "n_atoms", F.col("total").cast("decimal(38,6)").alias("area_km2"))
 
 
 @query(
@@ -92,8 +83,7 @@ anc(id, a) as (select id, id from up union select anc.id, f.parent from anc join
     + " select a.a id, sum(cast(coalesce(ar.a, 0) as decimal(28,6))) total from anc a left join ar on ar.id = a.id where a.a in (select id from up) group by 1"
 )
 def up_area_tree(spark: SparkSession, d: str) -> DataFrame:
-    c = table(spark, d, "catchments", "id", "area_km2").where("area_km2 >= 0 and area_km2 < float('inf')").groupBy("id").agg(F.max(F.col("area_km2").cast("double")).alias("a"))
-    return network.subtree_sums(_hierarchy(spark, d), c, "a").select("id", F.col("total").cast("decimal(38,6)").alias("total"))
+    return network.subtree_sums(_hierarchy(spark, d), snapping.one_area(table(spark, d, "catchments", "id", "area_km2")), "a").select("id", F.col("total").cast("decimal(38,6)").alias("total"))
 
 
 _HEAP = "select o_orderkey + 1 id, cast(floor((o_orderkey + 1) / 2) as bigint) down, o_totalprice area from orders"

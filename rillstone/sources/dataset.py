@@ -13,6 +13,7 @@ from rillstone.operators import diagnostics as D
 from rillstone.sources import footers, geotiff
 from rillstone.sources.arrow_ipc import ArrowIpc, _filesystem
 from rillstone.sources.schemas import BOX, FILES, MANIFEST, TABLES
+from rillstone.storage import Workspace
 
 
 @dataclass
@@ -122,22 +123,18 @@ def validate(spark: SparkSession, path: str, strict: bool = False, skip_rasters:
         if t is not None:
             parts.append(checks.row_groups(footers.row_groups(spark, [f"{path}/{FILES[name]}"]), name))
     if c is not None:
-        parts += [
-            checks.nulls(c, "catchments", {"id": ["id"], "area_km2": ["area_km2"], "bbox": list(BOX), "geometry": ["geometry"]}),
-            checks.id_signs(c, "catchments", "catchment"),
-            checks.duplicates(c, "catchments", "catchment"),
-            checks.measure(c, "area_km2", "ids.catchment_area", "catchments"),
-            checks.box(c, "catchments", "catchment", True),
-            checks.geometry(checks.exact_sample(c, sample_pct), "catchments", "catchment", (3, 6)),
-        ]
+        required = {"id": ["id"], "area_km2": ["area_km2"], "bbox": list(BOX), "geometry": ["geometry"]}
+        rules = checks.null_rules("catchments", required) + checks.id_rules("catchment") + checks.measure_rules("area_km2", "ids.catchment_area") + checks.box_rules("catchment", True)
+        parts += [D.each(c, rules, "catchments", checks.ROW), checks.duplicates(c, "catchments", "catchment"), checks.geometry(checks.exact_sample(c, sample_pct), "catchments", "catchment", (3, 6))]
         if m and m["has_up_area"]:
             parts.append(checks.up_area(c, True))
         if m and m["bbox"] and len(m["bbox"]) == 4:
-            parts.append(checks.enclosure(c, m["bbox"]))
+            parts.append(checks.enclosure(checks.union_box(c).withColumn("bbox", F.array(*[F.lit(x) for x in m["bbox"]]))))
         if m and m["atom_count"] is not None:
-            parts.append(checks.atom_count(c, m["atom_count"]))
+            parts.append(checks.atom_count(c.agg(F.count(F.lit(1)).alias("n")).withColumn("declared", F.lit(m["atom_count"]))))
     if g is not None:
-        parts += [checks.nulls(g, "graph", {"id": ["id"], "upstream_ids": ["upstream_ids"]}), checks.id_signs(g, "graph", "graph"), checks.duplicates(g, "graph", "graph"), checks.upstream_entries(g)]
+        rules = checks.null_rules("graph", {"id": ["id"], "upstream_ids": ["upstream_ids"]}) + checks.id_rules("graph")
+        parts += [D.each(g, rules, "graph", checks.ROW), checks.duplicates(g, "graph", "graph"), checks.upstream_entries(g)]
         left = network.blocked(hierarchy.build(g))
         few = left.agg(F.count(F.lit(1)).alias("n")).join(left.orderBy("id").limit(10).agg(F.sort_array(F.collect_list("id")).alias("ids")))
         parts.append(D.where(few, F.col("n") > 0, "graph.cycle_detected", "GraphInvariant", "graph", F.format_string("%d atoms on or downstream of a cycle, among them %s", "n", F.array_join(F.col("ids").cast("array<string>"), ", "))))
@@ -145,19 +142,14 @@ def validate(spark: SparkSession, path: str, strict: bool = False, skip_rasters:
         refs = g.select("_row", F.explode("upstream_ids").alias("ref"))
         parts += [checks.coverage(c, g), checks.dangling(refs, c, "referential.upstream_not_in_catchments", "upstream id")]
     if s is not None:
-        parts += [
-            checks.nulls(s, "snap", {"id": ["id"], "catchment_id": ["catchment_id"], "weight": ["weight"], "is_mainstem": ["is_mainstem"], "bbox": list(BOX), "geometry": ["geometry"]}),
-            checks.snap_ids(s),
-            checks.duplicates(s, "snap", "snap"),
-            checks.measure(s, "weight", "ids.snap_weight", "snap"),
-            checks.box(s, "snap", "snap", False),
-            checks.geometry(s, "snap", "snap", (1, 2)),
-        ]
+        required = {"id": ["id"], "catchment_id": ["catchment_id"], "weight": ["weight"], "is_mainstem": ["is_mainstem"], "bbox": list(BOX), "geometry": ["geometry"]}
+        rules = checks.null_rules("snap", required) + checks.snap_id_rules() + checks.measure_rules("weight", "ids.snap_weight") + checks.box_rules("snap", False)
+        parts += [D.each(s, rules, "snap", checks.ROW), checks.duplicates(s, "snap", "snap"), checks.geometry(s, "snap", "snap", (1, 2))]
         if c is not None:
             parts.append(checks.dangling(s.select("_row", F.col("catchment_id").alias("ref")), c, "referential.snap_catchment_not_in_catchments", "catchment"))
     if ds.rasters is not None and not skip_rasters:
         parts.append(checks.raster(ds.rasters, box, system))
-    d = D.cap(D.union(parts))
+    d = D.cap(Workspace(spark, "findings").cut(D.union(parts)))
     return D.strict(d) if strict else d
 
 

@@ -7,16 +7,19 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 _live: dict[str, SparkSession] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a local one is made only where the setting is unset (tests)."""
+    """The folder named by spark.checkpoint.dir. Where it is unset, a local one is made on a local master (tests); on a
+    cluster that is an error, for executors would each write to a disk of their own."""
     where = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
     if not where:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError(f"{_SETTING} must name a folder that all executors share")
         where = "file://" + tempfile.mkdtemp(prefix="rillstone-")
         spark.conf.set(_SETTING, where)
     return where.rstrip("/")
@@ -62,6 +65,12 @@ class Workspace:
         out._rill_path = path
         return out
 
+    def counted(self, df: DataFrame, **aggregates: Column) -> tuple[DataFrame, dict]:
+        """cut, and aggregates over the rows that are written, counted on the way: no second job."""
+        seen = Observation()
+        out = self.cut(df.observe(seen, *[a.alias(k) for k, a in aggregates.items()]))
+        return out, seen.get
+
     def drop(self, *tables: DataFrame | None) -> None:
         for t in tables:
             path = getattr(t, "_rill_path", None)

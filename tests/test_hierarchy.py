@@ -75,9 +75,20 @@ def check(spark, rows):
             inside = {x.id for x in a.values() if x.top == r.top and r.lft <= x.lft <= r.rgt}
             assert len(inside) == r.size and r.id in inside
             assert all(x == r.id or len(down[x] - {x}) == 1 for x in inside)
-    up = {(n, m) for n in nodes for m in nodes if n in far[m] and a[n].top is not None}
-    got = {(r.query_id, r.id) for r in network.upstream(h, h.atoms.where("top is not null").select("id")).collect()}
-    assert got == up
+    up = {(n, m) for n in nodes for m in nodes if n in far[m]}
+    got = [(r.query_id, r.id) for r in network.upstream(h, h.atoms.select("id")).collect()]
+    assert len(got) == len(set(got)) and set(got) == up
+    totals = {r.query_id: (r.n_atoms, int(r.total)) for r in network.upstream_totals(h, h.atoms.select("id"), h.atoms.selectExpr("id", "id as v"), "v").collect()}
+    assert totals == {n: (sum(q == n for q, _ in up), sum(m for q, m in up if q == n)) for n in nodes}
+    found = {(r.atom_id, r.root_id): r for r in H.paths(h, h.atoms.select("id")).collect()}
+    assert {(q, r, x.steps) for (q, r), x in found.items()} == paths
+    for (q, r), x in found.items():
+        step = q
+        for k, y in enumerate(x.path):
+            assert y == step
+            left = far[y][r]
+            step = min((z for z in down[y] if far[z].get(r) == left - 1), default=None)
+        assert step is None and len(x.path) == x.steps + 1
 
 
 def test_empty(spark):

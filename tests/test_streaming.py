@@ -1,11 +1,12 @@
 from rillstone.operators import checks
+from rillstone.operators import diagnostics as D
 from rillstone.streaming import arrivals
 
 
 def test_arrivals_are_checked_once(spark, tmp_path):
     src, out, cp = (str(tmp_path / x) for x in ("in", "out", "cp"))
     spark.createDataFrame([(0,), (1,), (-2,)], "id long").write.parquet(src)
-    run = lambda: arrivals.check_arrivals(arrivals.follow(spark, src, spark.read.parquet(src).schema), lambda b: checks.id_signs(b, "catchments", "catchment", row=None), out, cp).awaitTermination()
+    run = lambda: arrivals.check_arrivals(arrivals.follow(spark, src, spark.read.parquet(src).schema), lambda b: D.each(b, checks.id_rules("catchment"), "catchments"), out, cp).awaitTermination()
     run()
     run()
     assert spark.read.parquet(out).count() == 2
