@@ -40,8 +40,9 @@ class Pivots:
     reach is missed.
     """
 
-    def __init__(self, lon: np.ndarray, lat: np.ndarray, per_top: int = 128):
+    def __init__(self, lon: np.ndarray, lat: np.ndarray, per_top: int | None = None):
         u = unit(np.asarray(lon, float), np.asarray(lat, float))
+        per_top = per_top or max(128, round(len(u) ** 0.5))
         k = max(1, -(-len(u) // per_top))
         self.top = u[:k] if len(u) else np.array([[1.0, 0, 0]])
         near = np.concatenate([_table(u[i : i + 4096], self.top).argmin(axis=1) for i in range(0, len(u), 4096)]) if len(u) else np.zeros(0, int)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import struct
 
 import numpy as np
+import pyarrow as pa
 
 POINT, LINESTRING, POLYGON, MULTIPOINT, MULTILINESTRING, MULTIPOLYGON, COLLECTION = range(1, 8)
 _DIMENSIONS = {0: 2, 1: 3, 2: 3, 3: 4}
@@ -124,6 +125,115 @@ def point(x: float, y: float, end: str = "<") -> bytes:
     return struct.pack(end + "BIdd", end == "<", POINT, x, y)
 
 
+# ---- many geometries at once ------------------------------------------------------------------------------------------
+
+
+class _Bytes:
+    """A binary Arrow column as one run of bytes, read at many places at once."""
+
+    def __init__(self, column: pa.Array):
+        column = column.cast(pa.large_binary())
+        off = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, 8 * column.offset)
+        data = column.buffers()[2]
+        self.raw = np.concatenate([np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8), np.zeros(16, np.uint8)])
+        self.start, self.stop = off[:-1].copy(), off[1:].copy()
+        self.stop[column.is_null().to_numpy(zero_copy_only=False)] = self.start[column.is_null().to_numpy(zero_copy_only=False)]
+
+    def u32(self, at: np.ndarray, little: np.ndarray) -> np.ndarray:
+        b = [self.raw[at + k].astype(np.int64) for k in range(4)]
+        return np.where(little, b[0] | b[1] << 8 | b[2] << 16 | b[3] << 24, b[3] | b[2] << 8 | b[1] << 16 | b[0] << 24)
+
+    def f64(self, at: np.ndarray, little: np.ndarray) -> np.ndarray:
+        """Doubles that start at any byte: eight shifted views of the run, each in both byte orders."""
+        out = np.empty(len(at))
+        shift = at & 7
+        for k in range(8):
+            whole = (len(self.raw) - k) // 8
+            for end, mine in (("<f8", little), (">f8", ~little)):
+                i = np.flatnonzero((shift == k) & mine)
+                if len(i):
+                    out[i] = self.raw[k : k + 8 * whole].view(end)[at[i] >> 3]
+        return out
+
+
+def last_vertices(column: pa.Array) -> np.ndarray:
+    """last_vertex of a whole column: rows of longitude and latitude."""
+    b = _Bytes(column)
+    size = b.stop - b.start
+    out = np.full((len(size), 2), np.nan)
+    i = np.flatnonzero(size >= 9)
+    at = b.start[i]
+    little = b.raw[at] == 1
+    code = b.u32(at + 1, little)
+    dims = np.select([code // 1000 == k for k in _DIMENSIONS], list(_DIMENSIONS.values()), 0)
+    n = np.where(code % 1000 == LINESTRING, b.u32(at + 5, little), 1)
+    first = np.where(code % 1000 == LINESTRING, at + 9, at + 5)
+    ok = (b.raw[at] <= 1) & (dims > 0) & np.isin(code % 1000, (POINT, LINESTRING)) & (n > 0) & (first + 8 * dims * n <= b.stop[i])
+    i, last, little = i[ok], (first + 8 * dims * (n - 1))[ok], little[ok]
+    x, y = b.f64(last, little), b.f64(last + 8, little)
+    good = np.isfinite(x) & np.isfinite(y) & (np.abs(y) <= 90)
+    out[i[good], 0], out[i[good], 1] = x[good], y[good]
+    return out
+
+
+def all_rings(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """rings of a whole column, as (row of each ring, number of its vertices, vertices): rows that `rings` gives None for
+    have none. Polygons of two dimensions are walked ring by ring, all rows at once; other rows go one by one."""
+    b = _Bytes(column)
+    i = np.flatnonzero(b.stop - b.start >= 9)
+    at = b.start[i]
+    little = b.raw[at] == 1
+    code, n = b.u32(at + 1, little), b.u32(at + 5, little)
+    fast = (b.raw[at] <= 1) & np.isin(code, (POLYGON, MULTIPOLYGON))
+    slow = i[(b.raw[at] <= 1) & ~fast & np.isin(code % 1000, (POLYGON, MULTIPOLYGON))]  # of more dimensions
+    i, at, little, code, n = i[fast], at[fast] + 9, little[fast], code[fast], n[fast]
+    parts, left = np.where(code == MULTIPOLYGON, n, 0), np.where(code == POLYGON, n, 0)
+    bad = np.zeros(len(i), bool)
+    found = []
+    live = np.flatnonzero((parts > 0) | (left > 0))
+    while len(live):
+        # a polygon of a multipolygon begins: its own header
+        k = live[left[live] == 0]
+        if len(k):
+            short = at[k] + 9 > b.stop[i[k]]
+            bad[k[short]] = True
+            k = k[~short]
+            little[k] = b.raw[at[k]] == 1
+            odd = (b.raw[at[k]] > 1) | (b.u32(at[k] + 1, little[k]) != POLYGON)
+            bad[k[odd]] = True
+            slow = np.concatenate([slow, i[k[odd]]])  # unreadable, or of more dimensions
+            k = k[~odd]
+            left[k], parts[k], at[k] = b.u32(at[k] + 5, little[k]), parts[k] - 1, at[k] + 9
+        k = live[(left[live] > 0) & ~bad[live]]
+        short = at[k] + 4 > b.stop[i[k]]
+        count = np.where(short, 0, b.u32(np.minimum(at[k], len(b.raw) - 4), little[k]))
+        stop = at[k] + 4 + 16 * count
+        short |= stop > b.stop[i[k]]
+        bad[k[short]] = True
+        k, count, stop = k[~short], count[~short], stop[~short]
+        found.append(np.stack([k, at[k] + 4, count, little[k]]))
+        at[k], left[k] = stop, left[k] - 1
+        live = live[~bad[live] & ((parts[live] > 0) | (left[live] > 0))]
+    k, pos, count, end = np.concatenate(found, axis=1) if found else np.zeros((4, 0), np.int64)
+    keep = ~bad[k] & (count >= 3)
+    k, pos, count, end = k[keep], pos[keep], count[keep], end[keep] == 1
+    order = np.argsort(k, kind="stable")
+    k, pos, count, end = k[order], pos[order], count[order], end[order]
+    where = np.repeat(pos - 16 * np.concatenate([[0], np.cumsum(count)[:-1]]), count) + 16 * np.arange(count.sum())
+    flag = np.repeat(end, count)
+    xy = np.stack([b.f64(where, flag), b.f64(where + 8, flag)], axis=1)
+    row = i[k]
+    wild = np.unique(np.repeat(row, count)[~np.isfinite(xy).all(axis=1)])
+    if len(wild):
+        drop = np.isin(row, wild)
+        xy, row, count = xy[~np.repeat(drop, count)], row[~drop], count[~drop]
+    for r in slow.tolist():
+        more = rings(column[r].as_py()) or []
+        row, count = np.concatenate([row, np.full(len(more), r)]), np.concatenate([count, np.array([len(x) for x in more], np.int64)])
+        xy = np.concatenate([xy, *more])
+    return row, count, xy
+
+
 class Edges:
     """Edges of many polygons in one array, for even-odd tests of many (point, polygon) pairs at once."""
 
@@ -141,6 +251,18 @@ class Edges:
         self.count = np.array(counts, dtype=np.int64)
         self.first = np.concatenate([[0], np.cumsum(self.count)[:-1]]) if counts else np.zeros(0, dtype=np.int64)
 
+    @classmethod
+    def of_lines(cls, xy: np.ndarray, count: np.ndarray) -> Edges:
+        """From runs of vertices, one run of count[i] vertices to a polygon; rows of NaN part the lines within a run and end
+        each run."""
+        out = cls([])
+        whole = ~np.isnan(xy[:-1, 0]) & ~np.isnan(xy[1:, 0]) if len(xy) else np.zeros(0, bool)
+        out.a, out.b = xy[:-1][whole], xy[1:][whole]
+        owner = np.repeat(np.arange(len(count)), count)[:-1][whole] if len(xy) else np.zeros(0, int)
+        out.count = np.bincount(owner, minlength=len(count)).astype(np.int64)
+        out.first = np.concatenate([[0], np.cumsum(out.count)[:-1]]) if len(count) else np.zeros(0, np.int64)
+        return out
+
     def contain(self, poly: np.ndarray, x: np.ndarray, y: np.ndarray, block: int = 2_000_000) -> np.ndarray:
         """Whether polygon poly[i] contains (x[i], y[i]); holes excluded."""
         out = np.zeros(len(poly), dtype=bool)
