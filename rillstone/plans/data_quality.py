@@ -246,11 +246,62 @@ def p6_atoms(spark: SparkSession, d: str) -> DataFrame:
 # ---- p4: near and inside --------------------------------------------------------------------------------------------
 
 
-@query()
+def _u32(at: str) -> str:
+    """SQL: the whole number at byte `at` of the hexadecimal text h; null beyond its end."""
+    pair = lambda k: f"h[2*({at})+{2 * k + 1}:2*({at})+{2 * k + 2}]"
+    return f"try_cast('0x' || case when le then {pair(3)} || {pair(2)} || {pair(1)} || {pair(0)} else h[2*({at})+1:2*({at})+8] end as bigint)"
+
+
+def _f64(at: str) -> str:
+    """SQL: the double at byte `at`, from its exponent and mantissa; infinite and NaN as null."""
+    pair = lambda k: f"h[2*({at})+{2 * k + 1}:2*({at})+{2 * k + 2}]"
+    bits = f"try_cast('0x' || case when le then {' || '.join(pair(k) for k in range(7, -1, -1))} else h[2*({at})+1:2*({at})+16] end as ubigint)"
+    return f"(select case when (b >> 52) & 2047 = 2047 then null when (b >> 52) & 2047 = 0 then 0.0 else (1 - 2 * (b >> 63)::double) * (4503599627370496 + (b & 4503599627370495))::double * pow(2.0, ((b >> 52) & 2047)::double - 1075) end from (select {bits} b))"
+
+
+_P4 = f"""
+with recursive sg as (select id, hex(geometry) h, octet_length(geometry) len, hex(geometry)[1:2] = '01' le from snap where id is not null and octet_length(geometry) >= 21),
+sk as (select *, {_u32("1")} k, {_u32("5")} n from sg where h[1:2] in ('00', '01')),
+sp as (select id, h, le, case when k = 1 then 5 else 9 + 16 * (n - 1) end pos from sk where k = 1 or k = 2 and n > 0 and len >= 9 + 16 * n),
+loc as (select distinct id, x, y from (select id, {_f64("pos")} x, {_f64("pos + 8")} y from sp) where x is not null and abs(y) <= 90),
+cg as (select row_number() over () g, id, hex(geometry) h, octet_length(geometry) len, hex(geometry)[1:2] = '01' le from catchments where id is not null and octet_length(geometry) >= 9),
+ck as (select *, {_u32("1")} k, {_u32("5")} n from cg where h[1:2] in ('00', '01')),
+walk(g, id, h, len, le, parts, rings, pos, ring, n, bad) as (
+  select g, id, h, len, le, case when k = 6 then n else 0 end, case when k = 3 then n else 0 end, 9, 0, 0, false from ck where k in (3, 6)
+  union all
+  select g, id, h, len, le2, parts - (rings = 0)::int, case when rings = 0 then n2 else rings - 1 end, case when rings = 0 then pos + 9 else pos + 4 + 16 * n2 end,
+    pos + 4, case when rings = 0 then 0 else n2 end, case when rings = 0 then coalesce(k2 <> 3 or n2 is null, true) else coalesce(pos + 4 + 16 * n2 > len, true) end
+  from (select *, case when rings = 0 then {_u32("pos + 5")} else {_u32("pos")} end n2, {_u32("pos + 1")} k2 from (select * replace (case when rings = 0 then h[2*pos+1:2*pos+2] = '01' else le end as le), case when rings = 0 then h[2*pos+1:2*pos+2] = '01' else le end le2 from walk where not bad and (parts > 0 or rings > 0)))),
+ring as (select g, id, h, le, ring, n, row_number() over () r from walk where n >= 3 and g not in (select g from walk where bad)),
+vx as (select g, id, r, i, {_f64("ring + 16 * i")} x, {_f64("ring + 16 * i + 8")} y from (select *, unnest(range(n)) i from ring)),
+good as (select * from vx where g not in (select g from vx where x is null or y is null)),
+edge as (select g, x ax, y ay, coalesce(lead(x) over w, first_value(x) over w) bx, coalesce(lead(y) over w, first_value(y) over w) by_ from good window w as (partition by r order by i)),
+box as (select g, id, min(x) x0, max(x) x1, min(y) y0, max(y) y1 from good group by 1, 2),
+cand as (select p.id a, p.x, p.y, b.id b, b.g from loc p join box b on p.x between b.x0 and b.x1 and p.y between b.y0 and b.y1)
+select 'near' kind, a.id key_a, b.id key_b from loc a join loc b on b.y between a.y - 0.0006 and a.y + 0.0006 and a.id < b.id
+where 2 * 6371008.8 * asin(least(1.0, sqrt(pow(sin(radians(b.y - a.y) / 2), 2) + cos(radians(a.y)) * cos(radians(b.y)) * pow(sin(radians(b.x - a.x) / 2), 2)))) <= 50 group by all
+union all select 'inside', a, b from (select a, b, g, x, y from cand join edge using (g) group by all having count(*) filter ((ay > y) <> (by_ > y) and x < (bx - ax) * (y - ay) / (by_ - ay) + ax) % 2 = 1) group by all"""
+
+
+@query(_P4)
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return spatial.near_and_inside(table(spark, d, "snap", "id", "geometry"), table(spark, d, "catchments", "id", "geometry"), 50.0)
 
 
+@query(
+    _P4.split("cg as (")[0].rstrip().removesuffix(",").replace("with recursive", "with")
+    + """, place as (select x, y, min(id) place_id, count(distinct id) n_ids from loc group by 1, 2)
+select a.place_id, a.x lon, a.y lat, a.n_ids, count(b.place_id) n_near from place a left join place b on b.y between a.y - 0.0006 and a.y + 0.0006 and (a.x <> b.x or a.y <> b.y)
+and 2 * 6371008.8 * asin(least(1.0, sqrt(pow(sin(radians(b.y - a.y) / 2), 2) + cos(radians(a.y)) * cos(radians(b.y)) * pow(sin(radians(b.x - a.x) / 2), 2)))) <= 50 group by all"""
+)
+def p4_places(spark: SparkSession, d: str) -> DataFrame:
+    members, pairs = spatial.near_places(table(spark, d, "snap", "id", "geometry"))
+    at = lambda p: pairs.select(F.col(f"{p}_lon").alias("lon"), F.col(f"{p}_lat").alias("lat"))
+    near = at("a").unionByName(at("b")).groupBy("lon", "lat").agg(F.count(F.lit(1)).alias("n_near"))
+    places = members.groupBy("lon", "lat", "place_id").agg(F.count(F.lit(1)).alias("n_ids"))
+    return places.join(near, ["lon", "lat"], "left").select("place_id", "lon", "lat", "n_ids", F.coalesce("n_near", F.lit(0)).alias("n_near"))
+
+
 # ---- p5: hierarchies ------------------------------------------------------------------------------------------------
 
 
