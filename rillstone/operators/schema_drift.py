@@ -22,20 +22,21 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rillstone.storage import Workspace
+
 _NUMBER = r"[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?"
 
 
 def fields(df: DataFrame, stream: str = "stream_no", file: str = "file_no", line: str = "line_no", payload: str = "payload", key: str = "id") -> DataFrame:
-    """stream, file, line, rec (the key as text), field, kind (null for a null value), val (comparable text)."""
+    """stream, file, line, rec (the key as text), field, kind (null for a null value), text (of the value)."""
     v = F.try_parse_json(F.col(payload))
     parsed = df.select(F.col(stream).alias("stream"), F.col(file).alias("file"), F.col(line).alias("line"), v.alias("v"))
     parsed = parsed.where(F.expr("schema_of_variant(v) like 'OBJECT%'")).withColumn("rec", F.expr(f"try_variant_get(v, '$.{key}', 'string')"))
-    parsed.createOrReplaceTempView("rillstone_parsed")
-    flat = df.sparkSession.sql("select p.stream, p.file, p.line, p.rec, e.key as field, e.value as value from rillstone_parsed p, lateral variant_explode(p.v) e")
+    flat = parsed.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("v").outer())).select("stream", "file", "line", "rec", F.col("key").alias("field"), "value")
     kind = F.expr("substring_index(substring_index(schema_of_variant(value), '<', 1), '(', 1)")
     kind = F.when(kind == "VOID", None).when(kind == "STRING", "string").when(kind == "BOOLEAN", "boolean").when(kind == "ARRAY", "array").when(kind == "OBJECT", "object").otherwise("number")
     text = F.expr("case when schema_of_variant(value) = 'STRING' then variant_get(value, '$', 'string') else to_json(value) end")
-    return flat.select("stream", "file", "line", "rec", "field", kind.alias("kind"), _comparable(text, kind).alias("val"))
+    return flat.select("stream", "file", "line", "rec", "field", kind.alias("kind"), text.alias("text"))
 
 
 def _comparable(text: Column, kind: Column) -> Column:
@@ -59,6 +60,15 @@ def fingerprints(flat: DataFrame, files: DataFrame) -> DataFrame:
     return out.select("stream", "file", "prev_file", "version", "field", carried.alias("kind"))
 
 
+def versions(fp: DataFrame) -> DataFrame:
+    """stream, file, version, prev_file, fingerprint, n_fields, changed: a number for the schema of every file, the same for
+    files of the same fields and kinds, whatever their order; changed tells whether it differs from the preceding file's."""
+    mark = F.bit_xor(F.xxhash64("field", F.coalesce("kind", F.lit("")))).alias("fingerprint")
+    one = fp.groupBy("stream", "file", "version", "prev_file").agg(mark, F.count(F.lit(1)).alias("n_fields"))
+    before = F.lag("fingerprint").over(Window.partitionBy("stream").orderBy("version"))
+    return one.withColumn("changed", F.coalesce(before != F.col("fingerprint"), F.lit(False)))
+
+
 def file_versions(df: DataFrame, stream: str = "stream_no", file: str = "file_no") -> DataFrame:
     """stream, file, version (1, 2, ... by file number), prev_file."""
     w = Window.partitionBy("stream").orderBy("file")
@@ -67,15 +77,23 @@ def file_versions(df: DataFrame, stream: str = "stream_no", file: str = "file_no
 
 def migrations(flat: DataFrame, files: DataFrame) -> DataFrame:
     """stream, file, change_kind, field_name, old_name, old_kind, new_kind: every step between consecutive files."""
-    fp = fingerprints(flat, files)
+    space = Workspace(flat.sparkSession, "migrations")
+    fp = space.cut(fingerprints(flat, files))
     now = fp.where("prev_file is not null").select("stream", "file", "field", F.col("kind").alias("new_kind"))
     before = fp.select("stream", F.col("file").alias("prev_file"), "field", F.col("kind").alias("old_kind")).join(files.where("prev_file is not null").select("stream", "file", "prev_file"), ["stream", "prev_file"]).select("stream", "file", "field", "old_kind", F.lit(True).alias("was"))
     both = now.withColumn("is", F.lit(True)).join(before, ["stream", "file", "field"], "full_outer").withColumn("change", F.when(F.col("was").isNull(), "new").when(F.col("is").isNull(), "gone").otherwise("kept"))
+    both = space.cut(both)
     moved = both.where("change <> 'kept'").groupBy("stream", "file").agg(F.bool_or(F.col("change") == "new").alias("n"), F.bool_or(F.col("change") == "gone").alias("g")).where("n and g").select("stream", "file")
     step = both.where("change <> 'kept'").join(moved, ["stream", "file"], "left_semi").join(files.select("stream", "file", "prev_file"), ["stream", "file"])
-    one = flat.where("val is not null and rec is not null").groupBy("stream", "file", "field", "rec").agg(F.min_by("val", "line").alias("val"))
-    new_vals = step.where("change = 'new'").select("stream", "file", "field").join(one, ["stream", "file", "field"]).select("stream", "file", "rec", F.col("field").alias("new_field"), F.col("val").alias("new_val"))
-    old_vals = step.where("change = 'gone'").select("stream", F.col("file").alias("to_file"), F.col("prev_file").alias("file"), "field").join(one, ["stream", "file", "field"]).select("stream", F.col("to_file").alias("file"), "rec", F.col("field").alias("old_field"), F.col("val").alias("old_val"))
+    # values are compared only of fields that left or came; what a file has of them is told by few names
+    came = step.where("change = 'new'").select("stream", "file", "field", "file", F.lit("new").alias("side")).toDF("stream", "file", "field", "to_file", "side")
+    left = step.where("change = 'gone'").select("stream", F.col("prev_file").alias("file"), "field", F.col("file").alias("to_file"), F.lit("old").alias("side"))
+    sides = space.cut(came.unionByName(left))
+    kept = flat.where("kind is not null and rec is not null").join(sides, ["stream", "file", "field"])
+    one = kept.groupBy("stream", "to_file", "side", "field", "rec").agg(F.min_by(F.struct("text", "kind"), "line").alias("x"))
+    one = one.select("stream", F.col("to_file").alias("file"), "side", "field", "rec", _comparable(F.col("x.text"), F.col("x.kind")).alias("val"))
+    new_vals = one.where("side = 'new'").select("stream", "file", "rec", F.col("field").alias("new_field"), F.col("val").alias("new_val"))
+    old_vals = one.where("side = 'old'").select("stream", "file", "rec", F.col("field").alias("old_field"), F.col("val").alias("old_val"))
     pairs = new_vals.join(old_vals, ["stream", "file", "rec"]).groupBy("stream", "file", "old_field", "new_field").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("new_val") == F.col("old_val")).alias("same")).where("same * 2 > n")
     score = [F.desc(F.col("same") / F.col("n")), F.desc("same")]
     pairs = pairs.withColumn("rn_new", F.row_number().over(Window.partitionBy("stream", "file", "new_field").orderBy(*score, "old_field"))).withColumn("rn_old", F.row_number().over(Window.partitionBy("stream", "file", "old_field").orderBy(*score, "new_field")))

@@ -135,12 +135,23 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return steps.select(F.col("file").alias("file_no"), "field_name", "change_kind")
 
 
-@query()
+@query(f"with y as ({_P2.replace('select f file_no, k field_name, unnest', 'select f, k, coalesce(came, k) old_name, coalesce(ok, fk) old_kind, nk new_kind, unnest')}) select change_kind, old_name, k as field_name, old_kind, new_kind, count(distinct f) n_files from y group by all")
 def p2_report(spark: SparkSession, d: str) -> DataFrame:
     _, _, steps = _drift(spark, d)
     return steps.groupBy("change_kind", "old_name", "field_name", "old_kind", "new_kind").agg(F.countDistinct("file").alias("n_files"))
 
 
+@query(
+    _P2.split("bef as (")[0].rstrip().removesuffix(",")
+    + """, sig as (select s, f, ver, count(*) n_fields, string_agg(k || ':' || coalesce(kind, ''), ',' order by k) sig from (select s, f, k, kind from fp) join files using (s, f) group by s, f, ver)
+select s stream_no, f file_no, ver version, n_fields, coalesce(sig <> lag(sig) over (partition by s order by ver), false) changed from sig"""
+)
+def p2_versions(spark: SparkSession, d: str) -> DataFrame:
+    df = table(spark, d, "deliveries", "stream_no", "artifact", "file_no", "line_no", "payload")
+    v = schema_drift.versions(schema_drift.fingerprints(schema_drift.fields(df), schema_drift.file_versions(df)))
+    return v.select(F.col("stream").alias("stream_no"), F.col("file").alias("file_no"), "version", "n_fields", "changed")
+
+
 def _unified(spark: SparkSession, d: str, artifact: str, casts: dict[str, str]) -> DataFrame:
     df, flat, steps = _drift(spark, d)
     mine = df.where(F.col("artifact") == artifact)
@@ -152,16 +163,55 @@ def _unified(spark: SparkSession, d: str, artifact: str, casts: dict[str, str])
     return schema_drift.one_table(mine, names, casts, placed=space.cut(schema_drift.placements(steps, flat, names)))
 
 
-@query()
+_CASTS = {
+    "catchments": {"id": "bigint", "area_km2": "double", "up_area_km2": "double", "bbox": "array<double>", "geometry": "string", "strahler": "bigint", "slope_pct": "double", "survey_code": "string", "checked": "boolean", "remark": "string"},
+    "graph": {"id": "bigint", "upstream_ids": "array<bigint>", "downstream_id": "bigint", "strahler": "bigint", "survey_code": "string", "checked": "boolean", "remark": "string"},
+}
+
+
+def _table_sql(artifact: str, more: tuple[str, ...]) -> str:
+    """more: columns beside the casts, for names that no rename ties to a cast's field. They depend on the data, so the SQL
+    is for the tables on which it is compared."""
+    casts = _CASTS[artifact] | dict.fromkeys(more, "string")
+
+    def value(c: str, to: str) -> str:
+        at = f"any_value({{}}) filter (col = '{c}')"
+        text = at.format("tx")
+        if to in ("double", "bigint"):
+            return f"try_cast({text} as {to})"
+        if to == "boolean":
+            return f"case when lower({text}) in ('true', 'yes', '1') then true when lower({text}) in ('false', 'no', '0') then false end"
+        if to == "string":
+            return f"coalesce({text}, {at.format('js')})"
+        return at.format("listed") + f"::{to[6:-1]}[]"
+
+    cols = ", ".join(f"{value(c, to)} {c}" for c, to in casts.items())
+    lost = " - ".join(f"({c} is not null)::bigint" for c in casts)
+    return (
+        _P2.split("j as (select bo.*")[0].rstrip().removesuffix(",").replace("with p as", "with recursive p as")
+        + f""", mine as (select distinct stream_no s from deliveries where artifact = '{artifact}'),
+uses as (select k, count(distinct (s, f)) u from kv where s in (from mine) group by 1),
+lk as (select old a, new b from rn where s in (from mine) union select new, old from rn where s in (from mine)),
+cl(k, m) as (select k, k from uses union select cl.k, lk.b from cl join lk on lk.a = cl.m),
+nm as (select cl.k, coalesce(min(m) filter (m in {tuple(_CASTS[artifact])}), (list(m order by u desc, m))[1]) col from cl join uses on uses.k = cl.m group by 1),
+there as (select s, f, l, k, case when json_type(v) = 'OBJECT' then coalesce(v->'$.val', v->'$.ids', v) else v end i, v from kv where s in (from mine) and json_type(v) <> 'NULL'),
+val as (select s, f, l, col, case json_type(i) when 'VARCHAR' then i->>'$' when 'ARRAY' then null when 'OBJECT' then null else i::varchar end tx,
+  case when json_type(v) = 'OBJECT' and (v->'$.type') is not null then '{{"coordinates":' || (v->'$.coordinates')::varchar || ',"type":' || (v->'$.type')::varchar || '}}' else v::varchar end js,
+  case when json_type(i) = 'ARRAY' then try_cast(i as double[]) when trim(i->>'$') = '' then [] else [try_cast(trim(z) as double) for z in regexp_split_to_array(regexp_replace(trim(i->>'$'), '^\\[|\\]$', '', 'g'), ' *[,;] *')] end li from there join nm using (k)),
+lst as (select *, case when len(list_filter(li, lambda z: z is null)) = 0 then li end listed from val),
+rec as (select s, f, l, count(*) n, {cols} from lst group by s, f, l)
+select s stream, f file, l line, {', '.join(casts)}, n - {lost} n_lost from rec"""
+    )
+
+
+@query(_table_sql("catchments", ("unitarea",)))
 def p2_catchments(spark: SparkSession, d: str) -> DataFrame:
-    casts = {"id": "bigint", "area_km2": "double", "up_area_km2": "double", "bbox": "array<double>", "geometry": "string", "strahler": "bigint", "slope_pct": "double", "survey_code": "string", "checked": "boolean", "remark": "string"}
-    return _unified(spark, d, "catchments", casts)
+    return _unified(spark, d, "catchments", _CASTS["catchments"])
 
 
-@query()
+@query(_table_sql("graph", ("is_checked", "note_txt")))
 def p2_graph(spark: SparkSession, d: str) -> DataFrame:
-    casts = {"id": "bigint", "upstream_ids": "array<bigint>", "downstream_id": "bigint", "strahler": "bigint", "survey_code": "string", "checked": "boolean", "remark": "string"}
-    return _unified(spark, d, "graph", casts)
+    return _unified(spark, d, "graph", _CASTS["graph"])
 
 
 # ---- p3: orphan references ------------------------------------------------------------------------------------------
