@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import json
+import uuid
 from datetime import datetime, timezone
+from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillstone.operators import boxes, network
-from rillstone.sources.arrow_ipc import _filesystem
+from rillstone.operators import boxes, hierarchy, network
+from rillstone.sources.arrow_ipc import _filesystem, publish
 from rillstone.sources.footers import geo_metadata
-from rillstone.sources.schemas import BOX
+from rillstone.sources.manifests import read_manifest
+from rillstone.sources.schemas import BOX, FILES, MANIFEST
 
 GROUP_MIN, GROUP_MAX = 4096, 8192
 #: Manifest fields that all merged basins must share.
@@ -52,6 +55,26 @@ def reconcile(a: DataFrame, b: DataFrame, key: str = "id", least: float = 0.95)
     return a.join(b.select(key), key, "left_semi"), b.join(a.select(key), key, "left_semi"), cover.asDict()
 
 
+def guard_acyclic(graph: DataFrame) -> DataFrame:
+    """The graph itself, or an error that tells how many atoms lie on or downstream of a cycle, with some of them."""
+    left = network.blocked(hierarchy.build(graph))
+    n = left.count()
+    if n:
+        some = ", ".join(str(r.id) for r in left.orderBy("id").limit(10).collect())
+        raise CompileError(f"cycle detected: {n} atoms on or downstream of a cycle, among them {some}")
+    return graph
+
+
+def guard_measure(df: DataFrame, column: str, key: str = "id") -> DataFrame:
+    """The table itself, or an error: values that are null, not finite or negative."""
+    v = F.col(column).cast("double")
+    bad = df.where(~F.coalesce(~F.isnan(v) & (v >= 0) & (v < float("inf")), F.lit(False)))
+    n = bad.count()
+    if n:
+        raise CompileError(f"{column}: {n} values are null, not finite or negative, first at {key} {bad.agg(F.min(key)).first()[0]}")
+    return df
+
+
 def coverage(a: DataFrame, b: DataFrame, key: str = "id") -> DataFrame:
     """n_a, n_b, n_common, share_a, share_b over distinct keys."""
     x = a.select(key).where(F.col(key).isNotNull()).distinct().withColumn("a", F.lit(1))
@@ -91,13 +114,16 @@ def curve_order(df: DataFrame, bounds: tuple[float, float, float, float] | None
     return df.withColumn("h", h).repartitionByRange(F.col("h"), F.col("id")).sortWithinPartitions("h", "id")
 
 
-def write_parquet(df: DataFrame, folder: str, types: list[str], required: tuple[str, ...] = ()) -> int:
-    """One file per partition, in its order, with balanced row groups, statistics and `geo` metadata. Number of files.
+def write_parquet(df: DataFrame, folder: str, types: list[str], required: tuple[str, ...] = (), codec: str = "snappy") -> int:
+    """One file per partition, in its order, with balanced row groups, statistics and `geo` metadata; they replace what the
+    folder held. Number of files.
 
-    A partition is read into one task, as large as Spark's shuffle partitions are; files get the partition's number.
+    A partition is read into one task, as large as Spark's shuffle partitions are; files get the partition's number. Tasks
+    write to a staging folder; the files that succeeded tasks name are published, those of other attempts are not.
     """
     names = df.columns
     meta = geo_metadata(types)
+    stage = f"_staging-{uuid.uuid4().hex}"
 
     def run(batches):
         import pyarrow.parquet as pq
@@ -110,13 +136,19 @@ def write_parquet(df: DataFrame, folder: str, types: list[str], required: tuple[
         schema = pa.schema([pa.field(f.name, f.type, f.name not in required) for f in t.schema], metadata={b"geo": meta})
         t = pa.table([t[c].cast(schema.field(c).type) for c in names], schema=schema)
         fs, p = _filesystem(folder)
-        fs.create_dir(p, recursive=True)
-        with fs.open_output_stream(f"{p}/part-{TaskContext.get().partitionId():05d}.parquet") as out, pq.ParquetWriter(out, schema, compression="snappy") as w:
+        fs.create_dir(f"{p}/{stage}", recursive=True)
+        target = f"{p}/{stage}/part-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex}.parquet"
+        with fs.open_output_stream(target) as out, pq.ParquetWriter(out, schema, compression=codec) as w:
             for a, b in group_bounds(t.num_rows):
                 w.write_table(t.slice(a, b - a), row_group_size=b - a)
-        yield pa.RecordBatch.from_pydict({"n": [t.num_rows]})
+        yield pa.RecordBatch.from_pydict({"path": [target]})
 
-    return df.mapInArrow(run, "n long").count()
+    parts: list[str] = []
+    try:
+        parts = [r.path for r in df.mapInArrow(run, "path string").collect()]  # names of files
+    finally:
+        publish(folder, stage, parts, bool(parts))
+    return len(parts)
 
 
 def write_manifest(path: str, fields: dict) -> None:
@@ -128,11 +160,13 @@ def write_manifest(path: str, fields: dict) -> None:
 
 def from_tree(catchments: DataFrame, rivers: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(catchments, graph, snap) from a tree fabric. catchments: id, area, box, geometry; rivers: id, next_down, uparea,
-    box, geometry. Every catchment must have a river; up_area_km2 comes from it."""
+    box, geometry. Catchments without a river are left out, as rivers without a catchment, up to the share reconcile
+    allows; up_area_km2 is the river's. Cycles and areas that are no areas are errors."""
     guard_ids(catchments)
     c, r, _ = reconcile(catchments, rivers)
+    guard_measure(r, "uparea")
     cat = c.join(r.select("id", F.col("uparea").cast("float").alias("up_area_km2")), "id").select("id", F.col("area").cast("float").alias("area_km2"), "up_area_km2", *BOX, "geometry")
-    graph = network.edges_from_next_down(r)
+    graph = guard_acyclic(network.edges_from_next_down(r))
     main = network.mainstem(r.select("id", F.col("next_down").alias("down"), F.col("uparea").alias("area")))
     lo_x, hi_x = boxes.inflated("bbox_minx", "bbox_maxx")
     lo_y, hi_y = boxes.inflated("bbox_miny", "bbox_maxy")
@@ -158,3 +192,72 @@ def from_segments(segments: DataFrame, catchments: DataFrame) -> tuple[DataFrame
 def merge(tables: DataFrame, basin: str = "basin") -> DataFrame:
     """Rows of all basins in one order along the globe's curve, basin and id deciding where equal. Adds h."""
     return boxes.world_order(tables).repartitionByRange(F.col("h"), F.col(basin), F.col("id")).sortWithinPartitions("h", basin, "id")
+
+
+# ---- batches of basins ------------------------------------------------------------------------------------------------
+
+
+def basin_folders(root: str, files: tuple[str, ...] = tuple(FILES.values()), needed: tuple[str, ...] = ("manifest.json", "catchments.parquet", "graph.arrow")) -> list[dict]:
+    """basin, path, missing (of needed), has: the folders of a root, by name. One listing per folder, no data."""
+    import pyarrow.fs as pafs
+
+    fs, p = _filesystem(root)
+    out = []
+    for d in sorted((f for f in fs.get_file_info(pafs.FileSelector(p)) if f.type == pafs.FileType.Directory and not f.base_name.startswith(("_", "."))), key=lambda f: f.base_name):
+        there = {f.base_name for f in fs.get_file_info(pafs.FileSelector(d.path))}
+        out.append({"basin": d.base_name, "path": f"{root.rstrip('/')}/{d.base_name}", "missing": [x for x in needed if x not in there], "has": [x for x in files if x in there]})
+    return out
+
+
+def chosen(found: list[dict], only: list[str] | None = None, without: list[str] | None = None) -> list[dict]:
+    """The basins of a run: all or those named, less those left out; a name that is not there and a chosen basin with missing
+    files are errors."""
+    names = {b["basin"] for b in found}
+    unknown = sorted((set(only or ()) | set(without or ())) - names)
+    if unknown:
+        raise CompileError(f"no such basin: {', '.join(unknown)}")
+    out = [b for b in found if (not only or b["basin"] in only) and b["basin"] not in (without or ())]
+    broken = [f"{b['basin']} lacks {', '.join(b['missing'])}" for b in out if b["missing"]]
+    if broken:
+        raise CompileError("; ".join(broken))
+    return out
+
+
+def batch_summary(results: DataFrame) -> DataFrame:
+    """n_basins, n_ok, n_failed, n_skipped, atoms, seconds; results: basin, status (ok, failed, skipped), atoms, seconds."""
+    n = lambda s: F.count_if(F.col("status") == s)
+    return results.agg(F.count(F.lit(1)).alias("n_basins"), n("ok").alias("n_ok"), n("failed").alias("n_failed"), n("skipped").alias("n_skipped"), F.coalesce(F.sum(F.when(F.col("status") == "ok", F.col("atoms"))), F.lit(0)).alias("atoms"), F.coalesce(F.sum("seconds"), F.lit(0.0)).alias("seconds"))
+
+
+def merge_basins(found: list[dict], spark: SparkSession, target: str) -> dict:
+    """Basins to one dataset: manifests must agree, ids must not collide; catchments, graph and snap in one order each, a
+    manifest with the envelope and the sum of atoms. Returns the manifest."""
+    from rillstone.sources.arrow_ipc import ArrowIpc
+
+    spark.dataSource.register(ArrowIpc)
+    read = {b["basin"]: read_manifest(f"{b['path']}/{FILES['manifest']}") for b in found}
+    broken = [b for b, (m, _) in read.items() if m is None]
+    if broken:
+        raise CompileError(f"manifests can't be read: {', '.join(broken)}")
+    manifests = spark.createDataFrame([tuple(m[f.name] for f in MANIFEST.fields) for m, _ in read.values()], MANIFEST)
+    odd = [r.field for r in consensus(manifests, (*CONSENSUS, "has_snap", "has_up_area")).where("not agreed").collect()]
+    if odd:
+        raise CompileError(f"manifests differ in {', '.join(odd)}")
+    tagged = lambda df, b: df.withColumn("basin", F.lit(b["basin"]))
+    union = lambda dfs: reduce(DataFrame.unionByName, dfs)
+    cat = union([tagged(spark.read.parquet(f"{b['path']}/{FILES['catchments']}"), b) for b in found])
+    clash = collisions(cat).count()
+    if clash:
+        raise CompileError(f"{clash} ids occur in more than one basin")
+    drop = lambda df: df.drop("basin", "h")
+    write_parquet(drop(merge(cat)), f"{target}/{FILES['catchments']}", ["MultiPolygon", "Polygon"], ("id", "area_km2", *BOX, "geometry"))
+    graph = union([spark.read.format("arrow_ipc").load(f"{b['path']}/{FILES['graph']}") for b in found])
+    graph.repartitionByRange("id").sortWithinPartitions("id").write.format("arrow_ipc").mode("overwrite").save(f"{target}/{FILES['graph']}")
+    first = next(iter(read.values()))[0]
+    if first["has_snap"]:
+        snap = union([tagged(spark.read.parquet(f"{b['path']}/{FILES['snap']}"), b) for b in found])
+        write_parquet(drop(merge(snap)), f"{target}/{FILES['snap']}", ["LineString", "Point"], ("id", "catchment_id", "weight", "is_mainstem", *BOX, "geometry"))
+    e = envelope(manifests).first()
+    doc = {**first, "bbox": [e.minx, e.miny, e.maxx, e.maxy], "atom_count": cat.count(), "has_rasters": False, "created_at": None, "region": None}
+    write_manifest(f"{target}/{FILES['manifest']}", {k: v for k, v in doc.items() if v is not None})
+    return doc

@@ -97,6 +97,30 @@ def mosaic(layers: DataFrame, nodata: float, order: str = "layer") -> DataFrame:
     return tile.select("tile_row", "tile_col", "x0", "y0", "pixel", "width", F.col("p.v").alias("values"))
 
 
+def overview(tiles: DataFrame, tile: int) -> DataFrame:
+    """Tiles of the image at half the resolution, every second pixel of every second row; up to four tiles make one."""
+    item = tiles.schema["values"].dataType.elementType.simpleString()
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        parts = {}
+        for t in pdf.itertuples(index=False):
+            a = np.asarray(t.values).reshape(-1, t.width)[::2, ::2]
+            parts[t.tile_row % 2, t.tile_col % 2] = a
+        half = tile // 2
+        first = lambda a, k: a.shape[k]
+        h = max(r * half + first(a, 0) for (r, _), a in parts.items())
+        w = max(c * half + first(a, 1) for (_, c), a in parts.items())
+        out = np.zeros((h, w), next(iter(parts.values())).dtype)
+        for (r, c), a in parts.items():
+            out[r * half : r * half + a.shape[0], c * half : c * half + a.shape[1]] = a
+        t = pdf.iloc[0]
+        row, col = int(t.tile_row) // 2, int(t.tile_col) // 2
+        return pd.DataFrame([(row, col, t.x0 - (t.tile_col % 2) * tile * t.pixel, t.y0 + (t.tile_row % 2) * tile * t.pixel, 2 * t.pixel, w, out.ravel().tolist())], columns=["tile_row", "tile_col", "x0", "y0", "pixel", "width", "values"])
+
+    up = [F.floor(F.col(c) / 2).alias(f"up_{c}") for c in ("tile_row", "tile_col")]
+    return tiles.groupBy(*up).applyInPandas(run, f"tile_row int, tile_col int, x0 double, y0 double, pixel double, width int, values array<{item}>")
+
+
 def differences(a: DataFrame, b: DataFrame, nodata: float, rtol: float = 0.0, atol: float = 0.0) -> DataFrame:
     """n_compared, n_different over the pixels where both have data; exact where both tolerances are 0."""
     j = a.select("tile_row", "tile_col", F.col("values").alias("va")).join(b.select("tile_row", "tile_col", F.col("values").alias("vb")), ["tile_row", "tile_col"])

@@ -7,8 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillstone.operators import checks, compilation, network, rasters
+from rillstone.sources import geotiff
 from rillstone.sources.schemas import BOX
 from rillstone.sources.tables import table
+from rillstone.storage import Workspace
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -123,3 +125,27 @@ def raster_differences(spark: SparkSession, d: str) -> DataFrame:
     item = table(spark, d, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     p = item.groupBy(F.floor(F.col("l_orderkey") / 64).cast("int").alias("tile_row"), F.lit(0).alias("tile_col")).agg(F.collect_list(F.struct((F.col("l_partkey") % 50).alias("a"), (F.col("l_suppkey") % 50).alias("b"))).alias("p"))
     return rasters.differences(p.select("tile_row", "tile_col", F.col("p.a").alias("values")), p.select("tile_row", "tile_col", F.col("p.b").alias("values")), 0, atol=1.0)
+
+
+# ---- a raster file: orders as pixels, 128 to a row, written as a cloud-optimised GeoTIFF with an overview and read again ------
+
+
+@query("""with p as (select o_orderkey // 128 r, o_orderkey % 128 c, (o_custkey % 200)::int v from orders),
+n as (select count(*) n, ((count(*) + 127) // 128)::bigint h from p), pad as (select (n + i) // 128 r, (n + i) % 128 c, 255 v from (select n, unnest(range(h * 128 - n)) i from n)),
+a as (from p union all from pad)
+select 0 as image, v as value, count(*) n from a group by v union all select 1, v, count(*) from a where r % 2 = 0 and c % 2 = 0 group by v""")
+def raster_file(spark: SparkSession, d: str) -> DataFrame:
+    side, across = 32, 128
+    o = table(spark, d, "orders", "o_orderkey", "o_custkey").select(F.col("o_orderkey").alias("k"), (F.col("o_custkey") % 200).cast("int").alias("v"))
+    n = o.count()
+    h = -(-n // across)
+    px = o.unionByName(spark.range(n, h * across).select(F.col("id").alias("k"), F.lit(255).alias("v")))
+    row, col = F.floor(F.col("k") / across).cast("int"), (F.col("k") % across).cast("int")
+    px = px.select(F.floor(row / side).cast("int").alias("tile_row"), F.floor(col / side).cast("int").alias("tile_col"), "k", "v")
+    full = px.groupBy("tile_row", "tile_col").agg(F.sort_array(F.collect_list(F.struct("k", "v"))).alias("p"))
+    full = full.select("tile_row", "tile_col", (F.col("tile_col") * side * 0.01).alias("x0"), (60 - F.col("tile_row") * side * 0.01).alias("y0"), F.lit(0.01).alias("pixel"), F.lit(side).alias("width"), F.col("p.v").alias("values"))
+    path = f"{Workspace(spark, 'raster').root}/orders.tif"
+    geotiff.write_cog([full, rasters.overview(full, side)], path, across, h, side, 0.0, 60.0, 0.01, "uint8", 255)
+    spark.dataSource.register(geotiff.GeoTiff)
+    images = [rasters.histogram(spark.read.format("geotiff").option("image", k).load(path)).withColumn("image", F.lit(k)) for k in (0, 1)]
+    return images[0].unionByName(images[1])

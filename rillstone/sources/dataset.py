@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +11,7 @@ from rillstone.operators import checks, hierarchy, network
 from rillstone.operators import diagnostics as D
 from rillstone.sources import footers, geotiff
 from rillstone.sources.arrow_ipc import ArrowIpc, _filesystem
+from rillstone.sources.manifests import read_manifest
 from rillstone.sources.schemas import BOX, FILES, MANIFEST, TABLES
 from rillstone.storage import Workspace
 
@@ -33,43 +33,6 @@ def discover(path: str) -> dict[str, bool]:
     return {k: fs.get_file_info(f"{p}/{name}").type != pafs.FileType.NotFound for k, name in FILES.items()}
 
 
-_TYPES = {"string": str, "boolean": bool, "bigint": int}
-
-
-def read_manifest(path: str) -> tuple[dict | None, list[tuple]]:
-    """The manifest with the contract's fields (unknown ones are dropped), or a finding: it can't be read, is no JSON,
-    or a field has another type. Counts and levels must be whole numbers from 0 up."""
-    bad = lambda step, e: (None, [(f"manifest.{step}", "ERROR", "Manifest", "manifest", str(e))])
-    try:
-        fs, p = _filesystem(path)
-        with fs.open_input_file(p) as f:
-            raw = f.read()
-    except OSError as e:
-        return bad("read", e)
-    try:
-        doc = json.loads(raw)
-    except ValueError as e:
-        return bad("json_parse", e)
-    if not isinstance(doc, dict):
-        return bad("deserialize", "the manifest is no object")
-    out: dict = {}
-    for f_ in MANIFEST.fields:
-        v = doc.get(f_.name)
-        kind = f_.dataType.simpleString()
-        if v is None:
-            ok = True
-        elif kind == "array<double>":
-            ok = isinstance(v, list) and all(isinstance(x, (int, float)) and not isinstance(x, bool) for x in v)
-            v = [float(x) for x in v] if ok else None
-        else:
-            ok = isinstance(v, _TYPES[kind]) and (kind == "boolean" or not isinstance(v, bool))
-            ok = ok and not (f_.name in ("atom_count", "fabric_level") and v < 0)
-        if not ok:
-            return bad("deserialize", f"field {f_.name} has a wrong type or value")
-        out[f_.name] = v
-    return out, []
-
-
 def open_dataset(spark: SparkSession, path: str) -> Dataset:
     """Reads what is there; a problem becomes a finding and its table is left out. Snap and rasters only where declared."""
     spark.dataSource.register(ArrowIpc)
