@@ -261,3 +261,32 @@ def merge_basins(found: list[dict], spark: SparkSession, target: str) -> dict:
     doc = {**first, "bbox": [e.minx, e.miny, e.maxx, e.maxy], "atom_count": cat.count(), "has_rasters": False, "created_at": None, "region": None}
     write_manifest(f"{target}/{FILES['manifest']}", {k: v for k, v in doc.items() if v is not None})
     return doc
+
+
+def complete(root: str, names: list[str], fabric: str | None = None) -> dict[str, str]:
+    """Basin to what keeps it from being complete ("" if nothing does): its folder, its files, its manifest, its fabric."""
+    there = {b["basin"]: b for b in basin_folders(root)}
+    out = {}
+    for n in names:
+        if n not in there:
+            out[n] = "no folder"
+            continue
+        m, found = read_manifest(f"{there[n]['path']}/{FILES['manifest']}") if not there[n]["missing"] else (None, [])
+        files = [FILES[k] for k, on in (("snap", m and m["has_snap"]), ("flow_dir", m and m["has_rasters"]), ("flow_acc", m and m["has_rasters"])) if on]
+        lacks = there[n]["missing"] + [x for x in files if x not in there[n]["has"]]
+        problem = f"lacks {', '.join(lacks)}" if lacks else found[0][4] if found else ""
+        out[n] = problem or (f"fabric is {m['fabric_name']}" if fabric and m["fabric_name"] != fabric else "")
+    return out
+
+
+def guard_count(df: DataFrame, expected: int, what: str) -> DataFrame:
+    """The table itself, or an error where it has not as many rows as it must."""
+    n = df.count()
+    if n != expected:
+        raise CompileError(f"{what} has {n} rows instead of {expected}")
+    return df
+
+
+def fabric_code(prefix: str, number: int, digits: int = 2) -> str:
+    """A fabric's name with its number in a fixed width."""
+    return f"{prefix}{number:0{digits}d}"

@@ -72,20 +72,41 @@ def counts(d: DataFrame, *by: str) -> DataFrame:
     return d.groupBy(*by).agg(n("ERROR", "errors"), n("WARN", "warnings"), n("INFO", "infos")).withColumn("valid", F.col("errors") == 0)
 
 
+#: Categories in the order of a report.
+PHASES = ("FilePresence", "Manifest", "Schema", "IdConstraint", "Geometry", "ReferentialIntegrity", "GraphInvariant", "ValueConsistency", "Raster")
+
+
+def in_order(d: DataFrame) -> DataFrame:
+    """By phase, check, row and place within the row."""
+    phase = F.array_position(F.array(*[F.lit(p) for p in PHASES]), F.col("category"))
+    return d.orderBy(F.when(phase == 0, len(PHASES) + 1).otherwise(phase), "check_id", F.col("row").asc_nulls_last(), "sub", "message")
+
+
+def location(d: DataFrame) -> Column:
+    """Where a finding is: a row, a field of the manifest, a column, or the file as a whole."""
+    field = F.when(~F.col("check_id").isin("manifest.read", "manifest.json_parse", "manifest.deserialize"), F.regexp_extract("check_id", r"^manifest\.(\w+)$", 1))
+    column = F.when(F.col("category") == "Schema", F.regexp_extract("message", r"^column (\S+) ", 1))
+    return (
+        F.when(F.col("row").isNotNull(), F.format_string(" row %d", "row"))
+        .when(field != "", F.concat(F.lit(' field "'), field, F.lit('"')))
+        .when(column != "", F.concat(F.lit(' column "'), column, F.lit('"')))
+        .otherwise("")
+    )
+
+
 def line(d: DataFrame) -> DataFrame:
-    """text: [SEVERITY] artifact row i (check): message."""
-    at = F.when(F.col("row").isNotNull(), F.format_string(" row %d", F.col("row"))).otherwise("")
-    return d.select(F.concat(F.lit("["), "severity", F.lit("] "), "artifact", at, F.lit(" ("), "check_id", F.lit("): "), "message").alias("text"))
+    """text: [SEVERITY] artifact location (check): message."""
+    return d.select(F.concat(F.lit("["), "severity", F.lit("] "), "artifact", location(d), F.lit(" ("), "check_id", F.lit("): "), "message").alias("text"))
 
 
 def as_text(d: DataFrame) -> str:
     """The printed report; d is capped before, so its rows are few."""
     c = counts(d).first()
-    lines = [r.text for r in line(d.orderBy("check_id", F.col("row").asc_nulls_last(), "sub")).collect()]
+    lines = [r.text for r in line(in_order(d)).collect()]
     return "\n".join([*lines, f"{c.errors} error(s), {c.warnings} warning(s), {c.infos} info", f"Result: {'VALID' if c.valid else 'INVALID'}"])
 
 
 def as_json(d: DataFrame) -> str:
     c = counts(d).first()
-    rows = [{k: v for k, v in r.asDict().items() if v is not None and k != "sub"} for r in d.orderBy("check_id", F.col("row").asc_nulls_last(), "sub").collect()]
+    rows = [{k: v for k, v in r.asDict().items() if v is not None and k != "sub"} for r in in_order(d).collect()]
     return json.dumps({"passed": c.valid, "error_count": c.errors, "warning_count": c.warnings, "info_count": c.infos, "diagnostics": rows})

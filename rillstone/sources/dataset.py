@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from rillstone.operators import checks, hierarchy, network
 from rillstone.operators import diagnostics as D
-from rillstone.sources import footers, geotiff
+from rillstone.sources import footers, geotiff, reading
 from rillstone.sources.arrow_ipc import ArrowIpc, _filesystem
-from rillstone.sources.manifests import read_manifest
+from rillstone.sources.manifests import declared_problems, read_manifest
 from rillstone.sources.schemas import BOX, FILES, MANIFEST, TABLES
 from rillstone.storage import Workspace
 
@@ -33,8 +33,10 @@ def discover(path: str) -> dict[str, bool]:
     return {k: fs.get_file_info(f"{p}/{name}").type != pafs.FileType.NotFound for k, name in FILES.items()}
 
 
-def open_dataset(spark: SparkSession, path: str) -> Dataset:
-    """Reads what is there; a problem becomes a finding and its table is left out. Snap and rasters only where declared."""
+def open_dataset(spark: SparkSession, path: str, read_through: bool = True) -> Dataset:
+    """Reads what is there; a problem becomes a finding and its table is left out. Snap and rasters only where declared.
+    read_through decodes every batch first: those that can't be read are findings and left out, and with too many of them
+    the table is (see reading); without, such a batch ends the job that meets it."""
     spark.dataSource.register(ArrowIpc)
     ds = Dataset(path, discover(path))
     if ds.present["manifest"]:
@@ -53,10 +55,13 @@ def open_dataset(spark: SparkSession, path: str) -> Dataset:
         ds.findings += found
         if any(f[1] == "ERROR" for f in found):
             continue
-        if t == "graph":
-            ds.tables[t] = spark.read.format("arrow_ipc").option("row", "true").load(file)
-        else:
-            ds.tables[t] = checks.with_row(spark.read.parquet(file))
+        whole = spark.read.format("arrow_ipc").option("row", "true").load(file) if t == "graph" else checks.with_row(spark.read.parquet(file))
+        kind = "arrow" if t == "graph" else "parquet"
+        bad = Workspace(spark, "unreadable").cut(reading.unreadable(spark, file, kind)) if read_through else None
+        found, given_up = reading.findings(bad, t) if read_through else ([], False)
+        ds.findings += found
+        if not given_up:
+            ds.tables[t] = reading.without(spark, file, kind, bad, whole.schema) if found else whole
     if m.get("has_rasters"):
         files = {k: f"{path}/{FILES[k]}" for k in ("flow_dir", "flow_acc") if ds.present[k]}
         if files:
@@ -67,8 +72,9 @@ def open_dataset(spark: SparkSession, path: str) -> Dataset:
     return ds
 
 
-def validate(spark: SparkSession, path: str, strict: bool = False, skip_rasters: bool = False, sample_pct: float = 1.0) -> DataFrame:
-    """All diagnostics of a dataset, capped per check. skip_rasters leaves out the raster rules only."""
+def validate(spark: SparkSession, path: str, strict: bool = False, skip_rasters: bool = False, sample_pct: float = 1.0, second_layer: bool = False) -> DataFrame:
+    """All diagnostics of a dataset, capped per check. skip_rasters leaves out the raster rules only. second_layer adds what
+    compiling guarantees beyond the contract: geometry metadata, and the manifest by its declaration."""
     ds = open_dataset(spark, path)
     m = ds.manifest
     parts = []
@@ -76,6 +82,9 @@ def validate(spark: SparkSession, path: str, strict: bool = False, skip_rasters:
     missing = [(f"file_presence.{k}", "ERROR", "FilePresence", k, f"{FILES[k]} is missing") for k in wanted if not ds.present[k]]
     parts.append(D.literal(spark, [*ds.findings, *missing]) if ds.findings or missing else D.none(spark))
     box = system = None
+    if second_layer and m:
+        problems = [(f"manifest.declared.{f}", "ERROR", "Manifest", "manifest", f"{f} {text}") for f, text in declared_problems(m)]
+        parts.append(D.literal(spark, problems) if problems else D.none(spark))
     if m:
         row = spark.createDataFrame([tuple(m[f.name] for f in MANIFEST.fields)], MANIFEST)
         parts.append(checks.manifest(row))
@@ -84,6 +93,9 @@ def validate(spark: SparkSession, path: str, strict: bool = False, skip_rasters:
     c, g, s = (ds.tables.get(t) for t in ("catchments", "graph", "snap"))
     for name, t in (("catchments", c), ("snap", s)):
         if t is not None:
+            if second_layer:
+                problems = [(f"schema.{name}.geo", "ERROR", "Schema", name, x) for x in footers.geo_problems(f"{path}/{FILES[name]}")]
+                parts.append(D.literal(spark, problems) if problems else D.none(spark))
             parts.append(checks.row_groups(footers.row_groups(spark, [f"{path}/{FILES[name]}"]), name))
     if c is not None:
         required = {"id": ["id"], "area_km2": ["area_km2"], "bbox": list(BOX), "geometry": ["geometry"]}

@@ -116,3 +116,15 @@ def test_boxes_of_all_sizes(spark):
     inside = {(p, q[0]) for p, x, y in pts for q in b if q[1] <= x <= q[3] and q[2] <= y <= q[4]}
     got = [tuple(r) for r in boxes.containing(spark.createDataFrame(pts, "id long, x double, y double"), f(b)).collect()]
     assert set(got) == inside and len(got) == len(inside)
+
+
+def test_compile_guards(spark):
+    graph = lambda rows: spark.createDataFrame(rows, "id long, upstream_ids array<long>")
+    assert compilation.guard_acyclic(graph([(1, []), (2, [1])])).count() == 2
+    with pytest.raises(compilation.CompileError, match="cycle detected: 3 atoms"):
+        compilation.guard_acyclic(graph([(1, [2]), (2, [1]), (3, [2]), (4, [])]))
+    m = spark.createDataFrame([(1, 2.0), (2, float("nan")), (3, None), (4, -1.0)], "id long, a double")
+    with pytest.raises(compilation.CompileError, match="3 values .* first at id 2"):
+        compilation.guard_measure(m, "a")
+    with pytest.raises(compilation.CompileError, match="4 rows instead of 5"):
+        compilation.guard_count(m, 5, "layer")
