@@ -5,7 +5,8 @@ shard is hot. Each shard is evolved on ISLANDS islands: crossover injects whole
 other, bins that share an item with them are dissolved, and the displaced items are placed by best fit, largest first;
 mutation dissolves the emptiest bins. After each epoch an island's elite moves to the next island of its shard. The best
 packing of a shard stands; bins that are still loose are opened and their items dealt to new shards, until the loose
-bins fit one shard or a pass no longer helps.
+bins fit one shard or a pass no longer helps. A shard whose first packing, best fit of falling sizes, already has as few
+bins as its items can have takes no part in this: there is nothing to gain.
 
 An item larger than the capacity is cut into pieces: full pieces fill a container each, the rest is an item. Nothing
 else is split.
@@ -28,7 +29,7 @@ from rillstone.llm.tokens import VOCABULARY, with_sizes
 from rillstone.storage import Workspace
 
 CAPACITY = 2048
-SHARD, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 1200, 2, 2, 4, 4
+SHARD, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 1200, 2, 2, 12, 6
 #: Shards that a task evolves one after another, and the most tasks.
 PER_TASK, MOST_TASKS = 8, 4096
 #: A bin is loose, and opened in the next pass, if it is filled less than this; passes at most.
@@ -94,9 +95,17 @@ def mutate(bins: list, sizes: list, capacity: int, rng: random.Random) -> list:
     return best_fit(items, sizes, capacity, [b for k, b in enumerate(bins) if k not in out])
 
 
+def least_bins(sizes: list, capacity: int) -> int:
+    """A bound for any packing: the sum, and the items of more than half a bin, no two of which share one."""
+    return max(-(-sum(sizes) // capacity), sum(2 * x > capacity for x in sizes))
+
+
+def falling(sizes: list, capacity: int) -> list:
+    return best_fit(sorted(range(len(sizes)), key=lambda i: (-sizes[i], i)), sizes, capacity)
+
+
 def start(sizes: list, capacity: int, rng: random.Random, n: int) -> list:
-    order = sorted(range(len(sizes)), key=lambda i: (-sizes[i], i))
-    population = [best_fit(order, sizes, capacity)]
+    population = [falling(sizes, capacity)]
     while len(population) < n:
         noisy = sorted(range(len(sizes)), key=lambda i: -sizes[i] * rng.uniform(0.7, 1.3))
         population.append(best_fit(noisy, sizes, capacity))
@@ -105,7 +114,7 @@ def start(sizes: list, capacity: int, rng: random.Random, n: int) -> list:
 
 def evolve(population: list, sizes: list, capacity: int, rng: random.Random, generations: int) -> list:
     """Best first. Ends early where the number of bins can't be lowered."""
-    least = -(-sum(sizes) // capacity)
+    least = least_bins(sizes, capacity)
     score = lambda p: (len(p), -fitness(p, sizes, capacity))
     population = sorted(population, key=score)
     size = len(population)
@@ -136,7 +145,8 @@ def _decode(raw: bytes, n: int) -> list:
     return population
 
 
-_STATE = "shard int, island int, items binary, sizes binary, population binary, elite binary"
+_STATE = "shard int, island int, items binary, sizes binary, population binary, elite binary, done boolean"
+_STATE_NAMES = [c.split()[0] for c in _STATE.split(", ")]
 
 
 def _first(capacity: int, islands: int):
@@ -144,11 +154,14 @@ def _first(capacity: int, islands: int):
         pdf = pdf.sort_values("item")
         shard, sizes = int(pdf["shard"].iloc[0]), pdf["n"].tolist()
         items, raw = pdf["item"].to_numpy(np.int64).tobytes(), pdf["n"].to_numpy(np.int64).tobytes()
+        first = falling(sizes, capacity)
+        if len(first) <= least_bins(sizes, capacity):
+            return pd.DataFrame([(shard, 0, items, raw, None, _encode([first], len(sizes)), True)], columns=_STATE_NAMES)
         rows = []
         for island in range(islands):
             population = start(sizes, capacity, random.Random(shard * 31 + island), POPULATION)
-            rows.append((shard, island, items, raw, _encode(population, len(sizes)), None))
-        return pd.DataFrame(rows, columns=["shard", "island", "items", "sizes", "population", "elite"])
+            rows.append((shard, island, items, raw, _encode(population, len(sizes)), None, False))
+        return pd.DataFrame(rows, columns=_STATE_NAMES)
 
     return run
 
@@ -164,8 +177,8 @@ def _epoch(capacity: int, number: int):
                 if r.elite is not None:
                     population[-1:] = _decode(r.elite, n)
                 population = evolve(population, sizes, capacity, random.Random(r.shard * 1009 + r.island * 17 + number), GENERATIONS)
-                rows.append((r.shard, r.island, r.items, r.sizes, _encode(population, n), _encode(population[:1], n)))
-            yield pd.DataFrame(rows, columns=["shard", "island", "items", "sizes", "population", "elite"])
+                rows.append((r.shard, r.island, r.items, r.sizes, _encode(population, n), _encode(population[:1], n), False))
+            yield pd.DataFrame(rows, columns=_STATE_NAMES)
 
     return run
 
@@ -195,13 +208,15 @@ def _pass(items: DataFrame, n_shards: int, capacity: int, space: Workspace, salt
     """shard, bin, item, n, used: one evolved packing of all items."""
     dealt = items.select(F.pmod(F.xxhash64("item", F.lit(salt)), F.lit(n_shards)).cast("int").alias("shard"), "item", "n")
     dealt = dealt.repartition(_tasks(n_shards), "shard")  # a fixed number: the work of a shard is CPU, not bytes
-    state = dealt.groupBy("shard").applyInPandas(_first(capacity, ISLANDS), _STATE)
-    for e in range(EPOCHS):
+    first, n = space.counted(dealt.groupBy("shard").applyInPandas(_first(capacity, ISLANDS), _STATE), islands=F.count_if(~F.col("done")))
+    state, best = first.where("not done"), first.where("done")
+    for e in range(EPOCHS if n["islands"] else 0):
         if e:  # elites move on to the next island of their shard
             moved = state.select("shard", F.pmod(F.col("island") + 1, F.lit(ISLANDS)).cast("int").alias("island"), F.col("elite").alias("guest"))
-            state = state.join(moved, ["shard", "island"]).select("shard", "island", "items", "sizes", "population", F.col("guest").alias("elite"))
-        state = space.cut(state.repartition(_tasks(n_shards * ISLANDS), "shard", "island").mapInPandas(_epoch(capacity, e), _STATE))
-    return state.groupBy("shard").applyInPandas(_best(capacity), "shard int, bin int, item long, n long, used long")
+            state = state.join(moved, ["shard", "island"]).select("shard", "island", "items", "sizes", "population", F.col("guest").alias("elite"), "done")
+        state = space.cut(state.repartition(_tasks(n["islands"]), "shard", "island").mapInPandas(_epoch(capacity, e), _STATE))
+    best = best.unionByName(state) if n["islands"] else best
+    return best.groupBy("shard").applyInPandas(_best(capacity), "shard int, bin int, item long, n long, used long")
 
 
 def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -234,6 +249,6 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int
 
 
 def report(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """n_pieces, n_tokens, n_containers, least_containers (a bound for any packing), fill."""
+    """n_pieces, n_tokens, n_containers, least_containers (a bound for any packing), n_loose (filled less than LOOSE), fill."""
     per = packed.groupBy("container").agg(F.sum("n_tokens").alias("t"), F.count(F.lit(1)).alias("p"))
-    return per.agg(F.sum("p").alias("n_pieces"), F.sum("t").alias("n_tokens"), F.count(F.lit(1)).alias("n_containers"), F.ceil(F.sum("t") / capacity).alias("least_containers"), (F.sum("t") / (F.count(F.lit(1)) * capacity)).alias("fill"))
+    return per.agg(F.sum("p").alias("n_pieces"), F.sum("t").alias("n_tokens"), F.count(F.lit(1)).alias("n_containers"), F.ceil(F.sum("t") / capacity).alias("least_containers"), F.count_if(F.col("t") < LOOSE * capacity).alias("n_loose"), (F.sum("t") / (F.count(F.lit(1)) * capacity)).alias("fill"))

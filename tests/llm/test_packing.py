@@ -48,3 +48,33 @@ def test_all_texts_are_placed(spark):
     least = -(-sum(used.values()) // 100)
     assert len(used) <= least + 1
     assert packing.pack(df.limit(0), capacity=100).count() == 0
+
+
+def test_evolution_beats_best_fit_on_hard_sizes():
+    """Triples that fill a bin exactly: best fit of falling sizes needs more bins than there are triples, evolution fewer."""
+    won = 0
+    for seed in range(4):
+        rng = random.Random(seed)
+        sizes = []
+        for _ in range(40):
+            a = rng.randrange(380, 490)
+            b = rng.randrange(260, 380)
+            sizes += [a, b, 1000 - a - b]
+        first = packing.falling(sizes, 1000)
+        assert packing.least_bins(sizes, 1000) == 40 < len(first)
+        p = packing.evolve(packing.start(sizes, 1000, rng, packing.POPULATION), sizes, 1000, rng, packing.EPOCHS * packing.GENERATIONS)
+        assert sorted(i for b in p[0] for i in b) == list(range(120)) and all(sum(sizes[i] for i in b) <= 1000 for b in p[0])
+        fit = lambda x: packing.fitness(x, sizes, 1000)
+        assert len(p[0]) <= len(first)
+        won += len(p[0]) < len(first) or fit(p[0]) > fit(first) + 1e-9
+    assert won >= 3
+
+
+def test_shards_at_their_bound_are_not_evolved(spark, monkeypatch):
+    def never(*a):
+        raise AssertionError("evolved")
+
+    monkeypatch.setattr(packing, "_epoch", never)
+    items = spark.createDataFrame([(i, 100 + i % 7) for i in range(300)], "item long, n long")
+    got = packing._pass(items, 2, 2048, packing.Workspace(spark, "t"), 0)
+    assert got.count() == 300
