@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillstone.operators import checks, compilation, network, rasters
+from rillstone.plans.drainage import WORLD_SQL
 from rillstone.sources import geotiff
 from rillstone.sources.schemas import BOX
 from rillstone.sources.tables import table
@@ -78,7 +79,7 @@ def row_group_bounds(spark: SparkSession, d: str) -> DataFrame:
     return n.mapInPandas(run, "basin int, group_no long, size long")
 
 
-@query()
+@query(WORLD_SQL)
 def global_sort(spark: SparkSession, d: str) -> DataFrame:
     return compilation.merge(table(spark, d, "catchments", "id", "basin", *BOX)).select("id", "basin", "h")
 

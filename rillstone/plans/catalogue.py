@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rillstone.operators import checks
 from rillstone.operators import diagnostics as D
+from rillstone.plans.data_quality import WALK_SQL, _u32
 from rillstone.sources.tables import table
 
 QUERIES: dict = {}
@@ -241,7 +242,17 @@ def geometry_headers(spark: SparkSession, d: str) -> DataFrame:
     return g.groupBy(kind.alias("check_id")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+_TYPED = "select *, octet_length(geometry) len, hex(geometry) h, hex(geometry)[1:2] = '01' le from"
+
+
+@query(
+    f"""with recursive cg as (select row_number() over () g, id, len, h, le from ({_TYPED} catchments) where geometry is not null),
+ck as (select *, {_u32("1")} k, {_u32("5")} n from cg where len >= 5),
+{WALK_SQL}sk as (select *, {_u32("1")} k, {_u32("5")} n from ({_TYPED} snap) where geometry is not null),
+found as (select case when cg.len < 5 then 'geometry.catchment_too_short' when k % 1000 not in (3, 6) then 'geometry.catchment_wrong_type' when cg.h[1:2] not in ('00', '01') or cg.len < 9 or cg.g in (select g from walk where bad) then 'geometry.catchment_invalid_wkb' end check_id from cg left join ck using (g)
+  union all select case when len < 5 then 'geometry.snap_too_short' when k % 1000 not in (1, 2) then 'geometry.snap_wrong_type' when h[1:2] not in ('00', '01') or k = 1 and len < 21 or k = 2 and coalesce(9 + 16 * n > len, true) then 'geometry.snap_invalid_wkb' end from sk)
+select check_id, count(*) n from found where check_id is not null group by 1"""
+)
 def geometry_checks(spark: SparkSession, d: str) -> DataFrame:
     c = checks.geometry(table(spark, d, "catchments", "geometry"), "catchments", "catchment", (3, 6), None)
     s = checks.geometry(table(spark, d, "snap", "geometry"), "snap", "snap", (1, 2), None)

@@ -309,6 +309,15 @@ def _f64(at: str) -> str:
     return f"(select case when (b >> 52) & 2047 = 2047 then null when (b >> 52) & 2047 = 0 then 0.0 else (1 - 2 * (b >> 63)::double) * (4503599627370496 + (b & 4503599627370495))::double * pow(2.0, ((b >> 52) & 2047)::double - 1075) end from (select {bits} b))"
 
 
+#: SQL: rings of the polygons ck (g, id, h, len, le, k, n), by walking their bytes; bad marks those that end too soon or
+#: hold something else.
+WALK_SQL = f"""walk(g, id, h, len, le, parts, rings, pos, ring, n, bad) as (
+  select g, id, h, len, le, case when k = 6 then n else 0 end, case when k = 3 then n else 0 end, 9, 0, 0, false from ck where k in (3, 6)
+  union all
+  select g, id, h, len, le2, parts - (rings = 0)::int, case when rings = 0 then n2 else rings - 1 end, case when rings = 0 then pos + 9 else pos + 4 + 16 * n2 end,
+    pos + 4, case when rings = 0 then 0 else n2 end, case when rings = 0 then coalesce(k2 <> 3 or n2 is null, true) else coalesce(pos + 4 + 16 * n2 > len, true) end
+  from (select *, case when rings = 0 then {_u32("pos + 5")} else {_u32("pos")} end n2, {_u32("pos + 1")} k2 from (select * replace (case when rings = 0 then h[2*pos+1:2*pos+2] = '01' else le end as le), case when rings = 0 then h[2*pos+1:2*pos+2] = '01' else le end le2 from walk where not bad and (parts > 0 or rings > 0)))),
+"""
 _P4 = f"""
 with recursive sg as (select id, hex(geometry) h, octet_length(geometry) len, hex(geometry)[1:2] = '01' le from snap where id is not null and octet_length(geometry) >= 21),
 sk as (select *, {_u32("1")} k, {_u32("5")} n from sg where h[1:2] in ('00', '01')),
@@ -316,13 +325,7 @@ sp as (select id, h, le, case when k = 1 then 5 else 9 + 16 * (n - 1) end pos fr
 loc as (select distinct id, x, y from (select id, {_f64("pos")} x, {_f64("pos + 8")} y from sp) where x is not null and abs(y) <= 90),
 cg as (select row_number() over () g, id, hex(geometry) h, octet_length(geometry) len, hex(geometry)[1:2] = '01' le from catchments where id is not null and octet_length(geometry) >= 9),
 ck as (select *, {_u32("1")} k, {_u32("5")} n from cg where h[1:2] in ('00', '01')),
-walk(g, id, h, len, le, parts, rings, pos, ring, n, bad) as (
-  select g, id, h, len, le, case when k = 6 then n else 0 end, case when k = 3 then n else 0 end, 9, 0, 0, false from ck where k in (3, 6)
-  union all
-  select g, id, h, len, le2, parts - (rings = 0)::int, case when rings = 0 then n2 else rings - 1 end, case when rings = 0 then pos + 9 else pos + 4 + 16 * n2 end,
-    pos + 4, case when rings = 0 then 0 else n2 end, case when rings = 0 then coalesce(k2 <> 3 or n2 is null, true) else coalesce(pos + 4 + 16 * n2 > len, true) end
-  from (select *, case when rings = 0 then {_u32("pos + 5")} else {_u32("pos")} end n2, {_u32("pos + 1")} k2 from (select * replace (case when rings = 0 then h[2*pos+1:2*pos+2] = '01' else le end as le), case when rings = 0 then h[2*pos+1:2*pos+2] = '01' else le end le2 from walk where not bad and (parts > 0 or rings > 0)))),
-ring as (select g, id, h, le, ring, n, row_number() over () r from walk where n >= 3 and g not in (select g from walk where bad)),
+{WALK_SQL}ring as (select g, id, h, le, ring, n, row_number() over () r from walk where n >= 3 and g not in (select g from walk where bad)),
 vx as (select g, id, r, i, {_f64("ring + 16 * i")} x, {_f64("ring + 16 * i + 8")} y from (select *, unnest(range(n)) i from ring)),
 good as (select * from vx where g not in (select g from vx where x is null or y is null)),
 edge as (select g, x ax, y ay, coalesce(lead(x) over w, first_value(x) over w) bx, coalesce(lead(y) over w, first_value(y) over w) by_ from good window w as (partition by r order by i)),
@@ -417,6 +420,17 @@ def p5_way_down(spark: SparkSession, d: str) -> DataFrame:
     return network.all_downstream(h, h.atoms.where("id % 50 = 0").select("id"))
 
 
-@query()
+@query(
+    _P5
+    + """dn as (select u, count(*) n, min(v) v from e where u <> v group by u),
+f as (select u id, v parent from dn where n = 1),
+up(id, top, path) as (select id, id, [id] from n where id not in (select id from f) union all select f.id, up.top, list_append(up.path, f.id) from up join f on f.parent = up.id),
+anc(id, a) as (select id, id from up union all select anc.id, f.parent from anc join f on f.id = anc.a),
+sz as (select a id, count(*) size from anc group by 1),
+ends as (select id, case when coalesce(dn.n, 0) > 1 then 'branch' when coalesce(dn.n, 0) = 0 and id in (select u from e where u = v) then 'sink' when coalesce(dn.n, 0) = 0 then 'outlet' end own from n left join dn on dn.u = id),
+pos as (select id, top, len(path) - 1 depth, row_number() over (partition by top order by path) - 1 lft from up)
+select n.id, f.parent, coalesce(dn.n, 0) n_down, pos.top, pos.depth, sz.size, pos.lft, pos.lft + sz.size - 1 rgt, ends.own as end
+from n left join f on f.id = n.id left join dn on dn.u = n.id left join pos on pos.id = n.id left join sz on sz.id = n.id left join ends on ends.id = pos.top"""
+)
 def p5_nested_sets(spark: SparkSession, d: str) -> DataFrame:
     return _hierarchy(spark, d).atoms

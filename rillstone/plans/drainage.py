@@ -138,23 +138,36 @@ def degenerate_inflate(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "snap", "id", "bbox_minx", "bbox_maxx").select("id", lo.alias("lo"), hi.alias("hi"))
 
 
-_HILBERT = """with recursive g as (select c_custkey k, (c_custkey * 7919) % 65536 x, (c_custkey * 104729) % 65536 y from customer),
-h(k, i, x, y, d) as (select k, 15, x, y, cast(0 as bigint) from g union all
-  select k, i - 1,
+
+
+def hilbert_sql(keys: str, source: str) -> str:
+    """source: keys, x and y as whole numbers below 65,536."""
+    return f"""with recursive g as ({source}),
+h({keys}, i, x, y, d) as (select {keys}, 15, x, y, cast(0 as bigint) from g union all
+  select {keys}, i - 1,
     case when ry = 0 then (case when rx = 1 then s - 1 - (y % s) else y % s end) else x % s end,
     case when ry = 0 then (case when rx = 1 then s - 1 - (x % s) else x % s end) else y % s end,
     d + s * s * (case when rx = 1 then 3 - ry else ry end)
   from (select *, cast(pow(2, i) as bigint) s, cast(floor(x / pow(2, i)) as bigint) % 2 rx, cast(floor(y / pow(2, i)) as bigint) % 2 ry from h where i >= 0))
-select k as id, d as h from h where i = -1"""
+select {keys}, d as h from h where i = -1"""
+
+
+def _grid_sql(a: str, b: str, low: int) -> str:
+    v = f"(({a}::double + {b}) / 2 + {low}) / {2 * low} * 65535"
+    return f"coalesce(case when isnan({v}) then 0 else least(greatest(floor({v}), 0), 65535) end, 0)::bigint"
+
+
+#: SQL: id, basin, h of the catchments along the globe's curve.
+WORLD_SQL = hilbert_sql("id, basin", f"select id, basin, {_grid_sql('bbox_minx', 'bbox_maxx', 180)} x, {_grid_sql('bbox_miny', 'bbox_maxy', 90)} y from catchments")
 
 
-@query(_HILBERT)
+@query(hilbert_sql("id", "select c_custkey id, (c_custkey * 7919) % 65536 x, (c_custkey * 104729) % 65536 y from customer"))
 def hilbert_key(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("c_custkey")
     return table(spark, d, "customer", "c_custkey").select(k.alias("id"), boxes.hilbert((k * 7919) % 65536, (k * 104729) % 65536).alias("h"))
 
 
-@query()
+@query(WORLD_SQL)
 def hilbert_order(spark: SparkSession, d: str) -> DataFrame:
     c = boxes.world_order(table(spark, d, "catchments", "id", "basin", *BOX))
     return c.select("id", "basin", "h").repartitionByRange(F.col("h"), F.col("basin"), F.col("id")).sortWithinPartitions("h", "basin", "id")
