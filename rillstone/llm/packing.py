@@ -2,8 +2,8 @@
 
 Method: a grouping genetic algorithm on islands. Items are dealt to shards of SHARD items by a hash of their row, so no
 shard is hot. Each shard is evolved on ISLANDS islands: crossover injects whole well-filled bins of one parent into the
-other, bins that share an item with them are dissolved, and the displaced items are placed by best fit, largest first;
-mutation dissolves the emptiest bins. After each epoch an island's elite moves to the next island of its shard. The best
+other, bins that share an item with them are dissolved, the displaced items are exchanged for smaller ones of bins that
+they fill better, and what is left is placed by best fit, largest first; mutation dissolves the emptiest bins. After each epoch an island's elite moves to the next island of its shard. The best
 packing of a shard stands; bins that are still loose are opened and their items dealt to new shards, until the loose
 bins fit one shard or a pass no longer helps. A shard whose first packing, best fit of falling sizes, already has as few
 bins as its items can have takes no part in this: there is nothing to gain.
@@ -70,6 +70,40 @@ def fitness(bins: list, sizes: list, capacity: int) -> float:
     return sum((sum(sizes[i] for i in b) / capacity) ** 2 for b in bins) / len(bins) if bins else 0.0
 
 
+def exchange(bins: list, displaced: list, sizes: list, capacity: int) -> tuple[list, list]:
+    """Bins that are not full give up to two items for one or two displaced ones that fill them better: small items are
+    left over, which are easier to place."""
+    loose = sorted((sizes[i], i) for i in displaced)
+    out = []
+    for b in bins:
+        room = capacity - sum(sizes[i] for i in b)
+        best = (0, (), ())
+        if room and loose and len(b) <= 12:
+            for k, i in enumerate(b):
+                for j in (None, *b[k + 1 :]):
+                    given = sizes[i] + (sizes[j] if j is not None else 0)
+                    most = given + room
+                    at = bisect.bisect_right(loose, (most, 1 << 60)) - 1
+                    if at >= 0 and loose[at][0] - given > best[0]:
+                        best = (loose[at][0] - given, (i,) if j is None else (i, j), (at,))
+                    if j is None or best[0] == room:
+                        continue
+                    for x in range(min(len(loose) - 1, at), max(-1, at - 24), -1):  # two for two, the larger near the most
+                        y = bisect.bisect_right(loose, (most - loose[x][0], 1 << 60)) - 1
+                        y = y - 1 if y == x else y
+                        if y >= 0 and loose[x][0] + loose[y][0] - given > best[0]:
+                            best = (loose[x][0] + loose[y][0] - given, (i, j), (x, y))
+        if best[0]:
+            taken = [loose[x] for x in best[2]]
+            for x in sorted(best[2], reverse=True):
+                del loose[x]
+            for i in best[1]:
+                bisect.insort(loose, (sizes[i], i))
+            b = [i for i in b if i not in best[1]] + [i for _, i in taken]
+        out.append(b)
+    return out, [i for _, i in loose]
+
+
 def crossover(a: list, b: list, sizes: list, capacity: int, rng: random.Random) -> list:
     """Bins of b that are filled best, most of them, go into a whole; what a held of them is removed; displaced items by best fit."""
     ranked = sorted(b, key=lambda x: -sum(sizes[i] for i in x))
@@ -82,6 +116,7 @@ def crossover(a: list, b: list, sizes: list, capacity: int, rng: random.Random)
             kept.append(x)
         else:
             displaced += [i for i in x if i not in taken]
+    kept, displaced = exchange(kept, displaced, sizes, capacity)
     displaced.sort(key=lambda i: (-sizes[i], i))
     return best_fit(displaced, sizes, capacity, [*chosen, *kept])
 
@@ -90,9 +125,9 @@ def mutate(bins: list, sizes: list, capacity: int, rng: random.Random) -> list:
     """The emptiest bin and a few others are dissolved and their items placed anew."""
     ranked = sorted(range(len(bins)), key=lambda k: sum(sizes[i] for i in bins[k]))
     out = {ranked[0], *(rng.randrange(len(bins)) for _ in range(3))}
-    items = [i for k in out for i in bins[k]]
-    rng.shuffle(items)
-    return best_fit(items, sizes, capacity, [b for k, b in enumerate(bins) if k not in out])
+    kept, items = exchange([b for k, b in enumerate(bins) if k not in out], [i for k in out for i in bins[k]], sizes, capacity)
+    items.sort(key=lambda i: (-sizes[i], i))
+    return best_fit(items, sizes, capacity, kept)
 
 
 def least_bins(sizes: list, capacity: int) -> int:

@@ -64,9 +64,8 @@ def test_evolution_beats_best_fit_on_hard_sizes():
         assert packing.least_bins(sizes, 1000) == 40 < len(first)
         p = packing.evolve(packing.start(sizes, 1000, rng, packing.POPULATION), sizes, 1000, rng, packing.EPOCHS * packing.GENERATIONS)
         assert sorted(i for b in p[0] for i in b) == list(range(120)) and all(sum(sizes[i] for i in b) <= 1000 for b in p[0])
-        fit = lambda x: packing.fitness(x, sizes, 1000)
         assert len(p[0]) <= len(first)
-        won += len(p[0]) < len(first) or fit(p[0]) > fit(first) + 1e-9
+        won += len(p[0]) < len(first)
     assert won >= 3
 
 
