@@ -45,6 +45,11 @@ def dissolve(polygons: list[list[np.ndarray]]) -> list[np.ndarray]:
                     raise Unsupported("an edge is used twice in one direction")
                 else:
                     edges[a, b] = 1
+    return stitch(list(edges))
+
+
+def stitch(edges: list[tuple]) -> list[np.ndarray]:
+    """Rings of directed edges ((x, y), (x, y)), each of which is used once."""
     nexts: dict = {}
     for a, b in edges:
         nexts.setdefault(a, []).append(b)

@@ -117,6 +117,10 @@ def polygon(ring_list: list) -> bytes:
     return b"".join(out)
 
 
+def multipolygon(polygons: list) -> bytes:
+    return struct.pack("<BII", 1, MULTIPOLYGON, len(polygons)) + b"".join(polygon(p) for p in polygons)
+
+
 def linestring(xy: list, end: str = "<") -> bytes:
     return struct.pack(end + "BII", end == "<", LINESTRING, len(xy)) + np.asarray(xy, end + "f8").tobytes()
 
@@ -176,9 +180,10 @@ def last_vertices(column: pa.Array) -> np.ndarray:
     return out
 
 
-def all_rings(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """rings of a whole column, as (row of each ring, number of its vertices, vertices): rows that `rings` gives None for
-    have none. Polygons of two dimensions are walked ring by ring, all rows at once; other rows go one by one."""
+def all_rings(column: pa.Array, outer: bool = False) -> tuple[np.ndarray, ...]:
+    """rings of a whole column, as (row of each ring, number of its vertices, vertices, and with `outer` whether it is a
+    polygon's first): rows that `rings` gives None for have none. Polygons of two dimensions are walked ring by ring, all
+    rows at once; other rows go one by one."""
     b = _Bytes(column)
     i = np.flatnonzero(b.stop - b.start >= 9)
     at = b.start[i]
@@ -188,7 +193,7 @@ def all_rings(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     slow = i[(b.raw[at] <= 1) & ~fast & np.isin(code % 1000, (POLYGON, MULTIPOLYGON))]  # of more dimensions
     i, at, little, code, n = i[fast], at[fast] + 9, little[fast], code[fast], n[fast]
     parts, left = np.where(code == MULTIPOLYGON, n, 0), np.where(code == POLYGON, n, 0)
-    bad = np.zeros(len(i), bool)
+    bad, fresh = np.zeros(len(i), bool), np.ones(len(i), bool)
     found = []
     live = np.flatnonzero((parts > 0) | (left > 0))
     while len(live):
@@ -204,6 +209,7 @@ def all_rings(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             slow = np.concatenate([slow, i[k[odd]]])  # unreadable, or of more dimensions
             k = k[~odd]
             left[k], parts[k], at[k] = b.u32(at[k] + 5, little[k]), parts[k] - 1, at[k] + 9
+            fresh[k] = True
         k = live[(left[live] > 0) & ~bad[live]]
         short = at[k] + 4 > b.stop[i[k]]
         count = np.where(short, 0, b.u32(np.minimum(at[k], len(b.raw) - 4), little[k]))
@@ -211,14 +217,13 @@ def all_rings(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         short |= stop > b.stop[i[k]]
         bad[k[short]] = True
         k, count, stop = k[~short], count[~short], stop[~short]
-        found.append(np.stack([k, at[k] + 4, count, little[k]]))
-        at[k], left[k] = stop, left[k] - 1
+        found.append(np.stack([k, at[k] + 4, count, little[k], fresh[k]]))
+        at[k], left[k], fresh[k] = stop, left[k] - 1, False
         live = live[~bad[live] & ((parts[live] > 0) | (left[live] > 0))]
-    k, pos, count, end = np.concatenate(found, axis=1) if found else np.zeros((4, 0), np.int64)
+    k, pos, count, end, first = np.concatenate(found, axis=1) if found else np.zeros((5, 0), np.int64)
     keep = ~bad[k] & (count >= 3)
-    k, pos, count, end = k[keep], pos[keep], count[keep], end[keep] == 1
-    order = np.argsort(k, kind="stable")
-    k, pos, count, end = k[order], pos[order], count[order], end[order]
+    order = np.flatnonzero(keep)[np.argsort(k[keep], kind="stable")]
+    k, pos, count, end, first = k[order], pos[order], count[order], end[order] == 1, first[order] == 1
     where = np.repeat(pos - 16 * np.concatenate([[0], np.cumsum(count)[:-1]]), count) + 16 * np.arange(count.sum())
     flag = np.repeat(end, count)
     xy = np.stack([b.f64(where, flag), b.f64(where + 8, flag)], axis=1)
@@ -226,12 +231,13 @@ def all_rings(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     wild = np.unique(np.repeat(row, count)[~np.isfinite(xy).all(axis=1)])
     if len(wild):
         drop = np.isin(row, wild)
-        xy, row, count = xy[~np.repeat(drop, count)], row[~drop], count[~drop]
+        xy, row, count, first = xy[~np.repeat(drop, count)], row[~drop], count[~drop], first[~drop]
     for r in slow.tolist():
         more = rings(column[r].as_py()) or []
         row, count = np.concatenate([row, np.full(len(more), r)]), np.concatenate([count, np.array([len(x) for x in more], np.int64)])
+        first = np.concatenate([first, np.arange(len(more)) == 0])
         xy = np.concatenate([xy, *more])
-    return row, count, xy
+    return (row, count, xy, first) if outer else (row, count, xy)
 
 
 class Edges:

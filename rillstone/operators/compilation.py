@@ -290,3 +290,15 @@ def guard_count(df: DataFrame, expected: int, what: str) -> DataFrame:
 def fabric_code(prefix: str, number: int, digits: int = 2) -> str:
     """A fabric's name with its number in a fixed width."""
     return f"{prefix}{number:0{digits}d}"
+
+
+def inherit(parts: DataFrame, wholes: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """parts (reaches) with columns of the whole (segment) that each belongs to, null where there is none; a whole that is
+    listed more than once gives its least values, so no part is repeated."""
+    one = wholes.where(F.col(key).isNotNull()).groupBy(key).agg(*[F.min(c).alias(c) for c in columns])
+    return parts.join(one, key, "left")
+
+
+def id_range(df: DataFrame, key: str = "id") -> DataFrame:
+    """least, most, n_rows, n_distinct of ids."""
+    return df.agg(F.min(key).alias("least"), F.max(key).alias("most"), F.count(F.lit(1)).alias("n_rows"), F.countDistinct(key).alias("n_distinct"))

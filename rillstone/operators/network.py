@@ -50,6 +50,22 @@ def mainstem(children: DataFrame) -> DataFrame:
     return j.select("id", "down", "area", F.coalesce(F.col("t.id") == F.col("id"), F.lit(True)).alias("is_mainstem"))
 
 
+def mainstem_graph(graph: DataFrame, areas: DataFrame) -> DataFrame:
+    """The graph with one entry at most for each atom, its upstream atom of the largest area (id, area; atoms without one
+    count as 0), then the largest id: what hierarchy.build and upstream need to follow main stems only."""
+    e = H.edges_of(graph).where("from_id <> to_id").join(areas.select(F.col("id").alias("from_id"), "area"), "from_id", "left")
+    best = e.groupBy(F.col("to_id").alias("id")).agg(F.max(F.struct(F.coalesce("area", F.lit(0)).alias("a"), "from_id")).alias("m"))
+    nodes = graph.where("id is not null").select("id").distinct()
+    return nodes.join(best, "id", "left").select("id", F.array_compact(F.array("m.from_id")).alias("upstream_ids"))
+
+
+def summary(graph: DataFrame) -> DataFrame:
+    """n_atoms, n_headwaters, n_outlets, most_upstream, most_downstream: one row."""
+    d = degrees(graph)
+    most = lambda c: F.coalesce(F.max(c), F.lit(0))
+    return d.agg(F.count(F.lit(1)).alias("n_atoms"), F.count_if(F.col("n_up") == 0).alias("n_headwaters"), F.count_if(F.col("n_down") == 0).alias("n_outlets"), most("n_up").alias("most_upstream"), most("n_down").alias("most_downstream"))
+
+
 def blocked(h: H.Hierarchy) -> DataFrame:
     """id: atoms on a cycle or downstream of one: what repeated removal of atoms without upstream atoms leaves."""
     cyc = h.space.cut(H.cycles(h).select(F.col("atom_id").alias("id")))

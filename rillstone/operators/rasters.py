@@ -62,6 +62,17 @@ def window(tiles: DataFrame, box: tuple[float, float, float, float], pad: int =
     return tiles.where((F.col("x0") < box[2] + p) & (right > box[0] - p) & (bottom < box[3] + p) & (F.col("y0") > box[1] - p))
 
 
+def extent_contains(extents: DataFrame, boxes: DataFrame, tolerance: float = 0.01) -> DataFrame:
+    """id, label, contained: whether a raster (label, minx, miny, maxx, maxy: a few) reaches around each box (id, and the four
+    sides of a catchment), within a tolerance in degrees."""
+    e = extents.select("label", *[F.col(c).alias(f"r_{c}") for c in ("minx", "miny", "maxx", "maxy")])
+    e = e.groupBy().agg(F.collect_list(F.struct(*e.columns)).alias("rasters"))  # one row to a raster file, so no rows are paired
+    j = boxes.join(F.broadcast(e)).withColumn("r", F.explode("rasters"))
+    t = F.lit(tolerance)
+    ok = (F.col("r.r_minx") <= F.col("bbox_minx") + t) & (F.col("r.r_miny") <= F.col("bbox_miny") + t) & (F.col("r.r_maxx") >= F.col("bbox_maxx") - t) & (F.col("r.r_maxy") >= F.col("bbox_maxy") - t)
+    return j.select("id", "r.label", F.coalesce(ok, F.lit(False)).alias("contained"))
+
+
 def mask(tiles: DataFrame, region: bytes, nodata: float) -> DataFrame:
     """Pixels whose centre lies outside the region become nodata. masked: how many there were."""
     rings = wkb.rings(region)

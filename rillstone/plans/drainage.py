@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillstone.operators import boxes, network, snapping
+from rillstone.operators import boxes, compilation, delineation, hierarchy, network, snapping
 from rillstone.plans.data_quality import _P5, UP_SQL as _UP, _hierarchy
 from rillstone.sources.schemas import BOX
 from rillstone.sources.tables import table
@@ -201,3 +201,62 @@ def snap_distance_first(spark: SparkSession, d: str) -> DataFrame:
 @query(_CAND + " select outlet_id, id from (select *, row_number() over (partition by outlet_id order by m desc, dist, id) rn from k) where rn = 1")
 def snap_mainstem_first(spark: SparkSession, d: str) -> DataFrame:
     return snapping.nearest(_candidates(spark, d), mainstem_first=True)
+
+
+@query(_P5 + "d as (select n.id, coalesce(u, 0) u, coalesce(v, 0) v from n left join (select v id, count(*) u from e group by 1) using (id) left join (select u id, count(*) v from e group by 1) using (id)) select count(*) n_atoms, count(*) filter (u = 0) n_headwaters, count(*) filter (v = 0) n_outlets, max(u) most_upstream, max(v) most_downstream from d")
+def graph_summary(spark: SparkSession, d: str) -> DataFrame:
+    return network.summary(_graph(spark, d))
+
+
+@query(_P5 + _AREA + ", best as (select v, (list(u order by coalesce(a, 0) desc, u desc))[1] u from e left join ar on ar.id = e.u where u <> v group by v), up(q, id) as (select id, id from n where id % 50 = 0 union select up.q, best.u from up join best on best.v = up.id) select q query_id, id from up")
+def mainstem_upstream(spark: SparkSession, d: str) -> DataFrame:
+    area = snapping.one_area(table(spark, d, "catchments", "id", "area_km2")).withColumnRenamed("a", "area")
+    h = hierarchy.build(network.mainstem_graph(_graph(spark, d), area))
+    return network.upstream(h, h.atoms.where("id % 50 = 0").select("id"))
+
+
+@query("select min(id) least, max(id) most, count(*) n_rows, count(distinct id) n_distinct from catchments")
+def id_range(spark: SparkSession, d: str) -> DataFrame:
+    return compilation.id_range(table(spark, d, "catchments", "id"))
+
+
+@query("with s as (select basin, min(topology) topology, min(region) region from manifest where basin is not null group by 1) select c.id, c.basin, topology, region, count(*) n from catchments c left join s on s.basin = c.basin group by all")
+def inherited(spark: SparkSession, d: str) -> DataFrame:
+    j = compilation.inherit(table(spark, d, "catchments", "id", "basin"), table(spark, d, "manifest", "basin", "topology", "region"), "basin", ["topology", "region"])
+    return j.groupBy("id", "basin", "topology", "region").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---- whole delineation: outlets at every fiftieth snap feature -----------------------------------------------------------
+
+
+def _outlets(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    mid = lambda a, b: (F.col(a).cast("double") + F.col(b)) / 2
+    s = table(spark, d, "snap", "id", "catchment_id", "weight", "is_mainstem", *BOX).select("id", "catchment_id", "weight", "is_mainstem", mid("bbox_minx", "bbox_maxx").alias("lon"), mid("bbox_miny", "bbox_maxy").alias("lat"))
+    return s.where("id % 50 = 0").select(F.col("id").alias("outlet_id"), "lon", "lat"), s
+
+
+_PLACED = """o as (select outlet_id, min({'lon': olon, 'lat': olat}) p from (select id outlet_id, (bbox_minx::double + bbox_maxx) / 2 olon, (bbox_miny::double + bbox_maxy) / 2 olat from snap where id % 50 = 0) where not isnan(olon) and not isnan(olat) and abs(olon) <= 360 and abs(olat) <= 90 group by 1),
+own as (select id, min(catchment_id) atom_id from snap where id is not null group by 1 having min(catchment_id) in (select id from n)),
+k as (select outlet_id, s.id, atom_id, weight, coalesce(is_mainstem, false) m, 2 * 6371008.8 * asin(least(1.0, sqrt(pow(sin(radians(lat - o.p.lat) / 2), 2) + cos(radians(o.p.lat)) * cos(radians(lat)) * pow(sin(radians(lon - o.p.lon) / 2), 2)))) dist
+  from o join (select id, weight, is_mainstem, (bbox_minx::double + bbox_maxx) / 2 lon, (bbox_miny::double + bbox_maxy) / 2 lat from snap where weight is not null and not isnan(weight) and not isinf(weight)) s on abs(lat - o.p.lat) < 0.02 join own on own.id = s.id),
+pick as (select outlet_id, atom_id from (select *, row_number() over (partition by outlet_id order by weight desc, m desc, dist, id) rn from k where dist <= 2000) where rn = 1),
+"""
+
+
+@query(
+    _P5
+    + _PLACED
+    + """up(q, id) as (select distinct atom_id, atom_id from pick union select up.q, e.u from up join e on e.v = up.id)
+select outlet_id, pick.atom_id, 'snap' how, n_atoms from pick join (select q, count(*) n_atoms from up group by 1) on q = pick.atom_id"""
+)
+def delineate(spark: SparkSession, d: str) -> DataFrame:
+    """Outlets that a snap feature takes; the others are in delineate_shapes."""
+    o, s = _outlets(spark, d)
+    found = delineation.delineate(o, s, table(spark, d, "catchments", "id", "geometry"), _hierarchy(spark, d))
+    return found.where("how = 'snap'").select("outlet_id", "atom_id", "how", "n_atoms")
+
+
+@query()
+def delineate_shapes(spark: SparkSession, d: str) -> DataFrame:
+    o, s = _outlets(spark, d)
+    return delineation.delineate(o, s, table(spark, d, "catchments", "id", "geometry"), _hierarchy(spark, d))

@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from rillstone.functions import dissolve, wkb
-from rillstone.operators import boxes, compilation, network, rasters, snapping
+from rillstone.operators import boxes, compilation, delineation, network, rasters, snapping
 
 
 @given(st.integers(1, 200_000))
@@ -128,3 +128,42 @@ def test_compile_guards(spark):
         compilation.guard_measure(m, "a")
     with pytest.raises(compilation.CompileError, match="4 rows instead of 5"):
         compilation.guard_count(m, 5, "layer")
+
+
+def _square(x, y, w=1.0, h=1.0, flip=False):
+    r = [(x, y), (x + w, y), (x + w, y + h), (x, y + h), (x, y)]
+    return r[::-1] if flip else r
+
+
+def test_dissolve_over_tables(spark):
+    hole = [(3.2, 3.2), (3.4, 3.2), (3.3, 3.4), (3.2, 3.2)]
+    parts = [(1, wkb.polygon([_square(0, 0, 2, 2)])), (1, wkb.polygon([_square(2, 0, 1, 1, True)])), (1, wkb.polygon([_square(2, 1, 1, 1)]))]  # one long side meets two short ones
+    parts += [(2, wkb.polygon([_square(x, y, flip=(x + y) % 2 > 0)])) for x in range(3) for y in range(3) if (x, y) != (1, 1)]
+    parts += [(3, wkb.multipolygon([[_square(3, 3), hole], [_square(8, 8)]])), (3, wkb.polygon([_square(4, 3)])), (3, None), (3, b"bad"), (None, wkb.polygon([_square(0, 0)]))]
+    parts += [(4, wkb.polygon([_square(0, 0)])), (4, wkb.polygon([_square(0.5, 0)]))]
+    got = {r.key: r for r in delineation.dissolve(spark.createDataFrame(parts, "key long, geometry binary")).collect()}
+    assert sorted(got) == [1, 2, 3, 4] and got[4].n_overlaps > 0 and got[4].geometry is None
+    flat = {k: sum(dissolve.signed_area(r[:-1]) for r in wkb.rings(bytes(x.geometry))) for k, x in got.items() if x.geometry}
+    assert flat[1] == 6.0 and got[1].n_rings == 1 and len(wkb.rings(bytes(got[1].geometry))[0]) == 5
+    assert flat[2] == 8.0 and got[2].n_rings == 2 and abs(flat[3] - (3 - 0.02)) < 1e-9 and got[3].n_rings == 3
+    for k, x in got.items():
+        if x.geometry:
+            rings = wkb.rings(bytes(x.geometry))
+            assert abs(x.area_km2 - sum(np.sign(dissolve.signed_area(r[:-1])) * dissolve.sphere_area_km2(r[:-1]) for r in rings)) < 1e-6
+
+
+def test_delineate(spark):
+    cells = {1: (0.0, 1.0), 2: (1.0, 1.0), 3: (0.0, 0.0), 4: (9.0, 9.0)}
+    catchments = spark.createDataFrame([(i, wkb.polygon([_square(*p)])) for i, p in cells.items()], "id long, geometry binary")
+    graph = spark.createDataFrame([(1, []), (2, []), (3, [1, 2]), (4, [])], "id long, upstream_ids array<long>")
+    snap = spark.createDataFrame([(10, 3, 5.0, True, 0.5, 0.5), (11, 1, 9.0, True, 0.501, 0.5), (12, 77, 99.0, True, 0.5, 0.5), (13, None, 99.0, True, 0.5, 0.5)], "id long, catchment_id long, weight double, is_mainstem boolean, lon double, lat double")
+    outlets = spark.createDataFrame([(1, 0.5, 0.5), (2, 1.5, 1.5), (3, 50.0, 50.0), (4, float("nan"), 1.0), (None, 0.0, 0.0), (5, 0.4995, 0.5)], "outlet_id long, lon double, lat double")
+    h = network.H.build(graph)
+    got = {r.outlet_id: r for r in delineation.delineate(outlets, snap.where("id <> 11"), catchments, h, 500.0).collect()}
+    assert {k: (r.atom_id, r.how, r.n_atoms) for k, r in got.items()} == {1: (3, "snap", 3), 2: (2, "inside", 1), 3: (None, None, None), 5: (3, "snap", 3)}
+    assert got[1].n_rings == 1 and bytes(got[1].geometry) == bytes(got[5].geometry)
+    assert delineation.delineate(outlets, snap, catchments, h, 500.0).where("outlet_id = 1").first().atom_id == 1
+    own = spark.createDataFrame([(1, wkb.polygon([_square(0.0, 0.5, 1.0, 0.5)]))], "outlet_id long, geometry binary")
+    fine = {r.outlet_id: r for r in delineation.delineate(outlets, snap.where("id <> 11"), catchments, h, 500.0, own).collect()}
+    assert abs(sum(dissolve.signed_area(r[:-1]) for r in wkb.rings(bytes(fine[1].geometry))) - 2.5) < 1e-9 and fine[5].area_km2 == got[5].area_km2
+    assert delineation.delineate(outlets.limit(0), snap, catchments, h).count() == 0
