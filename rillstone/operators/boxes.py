@@ -7,21 +7,25 @@ from pyspark.sql import functions as F
 
 from rillstone.sources.schemas import BOX
 
-#: Side of a grid cell in degrees, and the most cells one box is listed in; a larger box is met on a coarser grid.
-CELL, MOST_CELLS = 1.0, 64
+#: Levels of grids, each with cells of 2^level degrees: from some 27 metres to more than the globe.
+FINEST, COARSEST = -12, 10
 #: Coordinates beyond this are no place; boxes and points that have one take no part in joins.
 BEYOND = 500.0
-LEVELS = 9
 
 
 def _level(w: Column, h: Column) -> Column:
-    """The finest level whose cells (CELL * 2^level) a box of this size meets few of."""
-    longest = F.greatest(w, h)
-    return F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(longest, F.lit(1e-9)) / (CELL * (MOST_CELLS**0.5 - 2))))).cast("int")
+    """The level whose cells are about as large as the box, so that it meets one to four of them, whatever its size."""
+    longest = F.greatest(w, h, F.lit(2.0**FINEST))
+    return F.least(F.ceil(F.log2(longest)), F.lit(COARSEST)).cast("int")
+
+
+def _levels(df: DataFrame, column: str) -> list[int]:
+    """The levels that boxes have: at most COARSEST - FINEST + 1 numbers. Points and boxes are listed on these only."""
+    return sorted(r[0] for r in df.select(column).distinct().collect())
 
 
 def _cells(minx: Column, miny: Column, maxx: Column, maxy: Column, level: Column) -> Column:
-    s = F.pow(F.lit(2.0), level) * CELL
+    s = F.pow(F.lit(2.0), level)
     span = lambda a, b: F.sequence(F.floor(a / s).cast("long"), F.floor(b / s).cast("long"))
     return F.flatten(F.transform(span(minx, maxx), lambda x: F.transform(span(miny, maxy), lambda y: F.struct(level.alias("level"), x.alias("cx"), y.alias("cy")))))
 
@@ -44,24 +48,25 @@ def containing(points: DataFrame, boxes: DataFrame, key: str = "id") -> DataFram
     b = _boxes(boxes, key, "b_")
     b = b.withColumn("c", F.explode(_cells(F.col("b_minx"), F.col("b_miny"), F.col("b_maxx"), F.col("b_maxy"), F.col("b_level"))))
     p = points.select(F.col(key).alias("point_key"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")).where(~F.isnan("x") & ~F.isnan("y") & (F.abs("x") <= BEYOND) & (F.abs("y") <= BEYOND))
-    p = p.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS))))
-    s = F.pow(F.lit(2.0), F.col("level")) * CELL
+    p = p.withColumn("level", F.explode(F.array(*[F.lit(k) for k in _levels(b, "b_level")]).cast("array<int>")))
+    s = F.pow(F.lit(2.0), F.col("level"))
     p = p.select("point_key", "x", "y", F.struct("level", F.floor(F.col("x") / s).cast("long").alias("cx"), F.floor(F.col("y") / s).cast("long").alias("cy")).alias("c"))
-    j = b.withColumn("c", F.struct(F.least(F.col("c.level"), F.lit(LEVELS)).alias("level"), F.col("c.cx").alias("cx"), F.col("c.cy").alias("cy")))
-    return p.join(j, "c").where("x between b_minx and b_maxx and y between b_miny and b_maxy").select("point_key", F.col("b_key").alias("box_key"))
+    return p.join(b, "c").where("x between b_minx and b_maxx and y between b_miny and b_maxy").select("point_key", F.col("b_key").alias("box_key"))
 
 
 def intersecting(a: DataFrame, b: DataFrame, key: str = "id") -> DataFrame:
     """a_key, b_key: boxes that overlap or touch. Each pair is met on the coarser box's level, in the first common cell."""
     x, y = _boxes(a, key, "a_"), _boxes(b, key, "b_")
 
+    levels = {"a_": _levels(y, "b_level"), "b_": _levels(x, "a_level")}  # of the other side
+
     def listed(df: DataFrame, p: str, own: bool) -> DataFrame:
-        """On its own level, or on all coarser ones as well: only boxes that are large themselves are met there."""
-        levels = F.array(F.col(f"{p}level")) if own else F.sequence(F.col(f"{p}level"), F.lit(LEVELS))
-        up = df.withColumn("lv", F.explode(levels))
+        """On its own level, or on those of the other side that are not finer: boxes as large are met there."""
+        coarser = F.filter(F.array(*[F.lit(k) for k in levels[p]]).cast("array<int>"), lambda k: k >= F.col(f"{p}level"))
+        up = df.withColumn("lv", F.explode(F.array(F.col(f"{p}level")) if own else coarser))
         return up.withColumn("c", F.explode(_cells(F.col(p + "minx"), F.col(p + "miny"), F.col(p + "maxx"), F.col(p + "maxy"), F.col("lv")))).drop("lv")
 
-    s = F.pow(F.lit(2.0), F.col("c.level")) * CELL
+    s = F.pow(F.lit(2.0), F.col("c.level"))
     touch = (F.col("a_minx") <= F.col("b_maxx")) & (F.col("b_minx") <= F.col("a_maxx")) & (F.col("a_miny") <= F.col("b_maxy")) & (F.col("b_miny") <= F.col("a_maxy"))
     first = (F.col("c.cx") == F.floor(F.greatest("a_minx", "b_minx") / s)) & (F.col("c.cy") == F.floor(F.greatest("a_miny", "b_miny") / s))
     coarse_a = listed(x, "a_", True).join(listed(y, "b_", False), "c")

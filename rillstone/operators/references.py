@@ -6,8 +6,8 @@ for the times that matter (first load, first withdrawal), so a run of 1,000 keys
 block, and lies beyond the run's end if the parent does not exist.
 
 References are first collapsed to distinct (field, record, key, month) with the first and last time, map-side, so a
-key that a third of the rows name and that is its own record becomes a few rows. What then remains of a hot block is
-joined in SALTS parts: the compact runs are repeated, never the references.
+key that a third of the rows name and that is its own record becomes a few rows. A block that more than HOT of them
+still name is joined in parts of some HOT each: its compact runs are repeated, never the references.
 
 Defined results: null and 0 keys are no references; a null time is after nothing and before nothing; a withdrawal
 without time never took effect, but its key is known; repeated rows give one result row. Negative keys are ordinary.
@@ -18,10 +18,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rillstone.storage import Workspace
+
 #: Keys to a block, a power of two. A block's runs hold at most so many slots.
-BLOCK = 1024
-#: Parts in which the references of a block are joined.
-SALTS = 8
+BLOCK = 256
+#: References of a block that are joined in one part.
+HOT = 100_000
 
 
 def _block(key: Column) -> Column:
@@ -60,9 +62,12 @@ def orphans(refs: DataFrame, runs: DataFrame) -> DataFrame:
         .groupBy("ref_field", "record_id", "ref_id", F.date_format(at, "yyyy-MM").alias("loaded_month"))
         .agg(F.min(F.unix_micros(at)).alias("first_at"), F.max(F.unix_micros(at)).alias("last_at"))
         .withColumn("block", _block(F.col("ref_id")))
-        .withColumn("salt", F.pmod(F.xxhash64("record_id", "ref_field"), F.lit(SALTS)).cast("int"))
     )
-    spread = runs.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    seen = Workspace(refs.sparkSession, "references").cut(seen)
+    hot = seen.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / HOT).cast("int").alias("parts")).where("parts > 1")
+    hot = F.broadcast(hot)  # at most one row for each HOT references
+    seen = seen.join(hot, "block", "left").withColumn("salt", F.pmod(F.xxhash64("record_id", "ref_field"), F.coalesce("parts", F.lit(1))).cast("int")).drop("parts")
+    spread = runs.join(hot, "block", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
     j = seen.join(spread, ["block", "salt"], "left")
     # as of: the last run that starts at or before the key
     n_before = F.size(F.filter(F.col("runs"), lambda r: r["run_start"] <= F.col("ref_id")))

@@ -1,10 +1,14 @@
 import random
 from datetime import datetime, timedelta
 
+import pytest
+
 from rillstone.operators import references
 
 
-def test_against_brute_force(spark):
+@pytest.mark.parametrize("hot", [references.HOT, 15])
+def test_against_brute_force(spark, monkeypatch, hot):
+    monkeypatch.setattr(references, "HOT", hot)
     rng = random.Random(3)
     t0 = datetime(2023, 1, 1)
     when = lambda: t0 + timedelta(hours=rng.randrange(4000)) if rng.random() > 0.05 else None
