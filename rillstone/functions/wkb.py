@@ -180,11 +180,9 @@ def last_vertices(column: pa.Array) -> np.ndarray:
     return out
 
 
-def all_rings(column: pa.Array, outer: bool = False) -> tuple[np.ndarray, ...]:
-    """rings of a whole column, as (row of each ring, number of its vertices, vertices, and with `outer` whether it is a
-    polygon's first): rows that `rings` gives None for have none. Polygons of two dimensions are walked ring by ring, all
-    rows at once; other rows go one by one."""
-    b = _Bytes(column)
+def _walked(b: _Bytes) -> tuple:
+    """(rows of polygons of two dimensions, which of them can't be read, rows to be read one by one, rings: place in rows,
+    first byte, vertices, byte order, whether a polygon's first)."""
     i = np.flatnonzero(b.stop - b.start >= 9)
     at = b.start[i]
     little = b.raw[at] == 1
@@ -221,6 +219,37 @@ def all_rings(column: pa.Array, outer: bool = False) -> tuple[np.ndarray, ...]:
         at[k], left[k], fresh[k] = stop, left[k] - 1, False
         live = live[~bad[live] & ((parts[live] > 0) | (left[live] > 0))]
     k, pos, count, end, first = np.concatenate(found, axis=1) if found else np.zeros((5, 0), np.int64)
+    return i, bad, slow.astype(np.int64), (k, pos, count, end, first)
+
+
+def readable(column: pa.Array) -> np.ndarray:
+    """is_readable of a whole column."""
+    b = _Bytes(column)
+    out = np.zeros(len(b.start), bool)
+    i = np.flatnonzero(b.stop - b.start >= 5)
+    at = b.start[i]
+    little = b.raw[at] == 1
+    code = b.u32(at + 1, little)
+    base = code % 1000
+    dims = np.select([code // 1000 == k for k in _DIMENSIONS], list(_DIMENSIONS.values()), 0)
+    known = (b.raw[at] <= 1) & (dims > 0)
+    n = np.where((base == LINESTRING) & (at + 9 <= b.stop[i]), b.u32(np.minimum(at + 5, len(b.raw) - 4), little), 0)
+    need = np.where(base == POINT, 5 + 8 * dims, 9 + 8 * dims * n)
+    out[i] = known & np.isin(base, (POINT, LINESTRING)) & (at + need <= b.stop[i])
+    rows, bad, slow, _ = _walked(b)
+    out[rows] = ~bad
+    rest = i[known & np.isin(base, (MULTIPOINT, MULTILINESTRING, COLLECTION))]
+    for r in np.concatenate([slow, rest]).tolist():
+        out[r] = is_readable(column[r].as_py())
+    return out
+
+
+def all_rings(column: pa.Array, outer: bool = False) -> tuple[np.ndarray, ...]:
+    """rings of a whole column, as (row of each ring, number of its vertices, vertices, and with `outer` whether it is a
+    polygon's first): rows that `rings` gives None for have none. Polygons of two dimensions are walked ring by ring, all
+    rows at once; other rows go one by one."""
+    b = _Bytes(column)
+    i, bad, slow, (k, pos, count, end, first) = _walked(b)
     keep = ~bad[k] & (count >= 3)
     order = np.flatnonzero(keep)[np.argsort(k[keep], kind="stable")]
     k, pos, count, end, first = k[order], pos[order], count[order], end[order] == 1, first[order] == 1

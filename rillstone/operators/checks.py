@@ -5,7 +5,7 @@ Rules of single rows are lists (null_rules and others), so that all of a table's
 `row` places a record in its file (see with_row): a column, its name, or None.
 """
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -195,10 +195,10 @@ def wkb_type(g: Column) -> Column:
 
 
 def _readable(g: Column) -> Column:
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(wkb.is_readable)
+    def run(s: pa.Array) -> pa.Array:
+        return pa.array(wkb.readable(s))
 
-    return F.pandas_udf(run, "boolean")(g)
+    return F.arrow_udf(run, "boolean")(g)
 
 
 def geometry(df: DataFrame, artifact: str, prefix: str, allowed: tuple[int, ...], row: D.Place = ROW) -> DataFrame:

@@ -74,6 +74,7 @@ def test_columns_read_as_single_geometries():
     rows += [None, b"", b"\x01"]
     column = pa.array([b"front", *rows], pa.binary()).slice(1)
     assert np.array_equal(wkb.last_vertices(column), np.array([wkb.last_vertex(g) for g in rows]), equal_nan=True)
+    assert wkb.readable(column).tolist() == [wkb.is_readable(g) for g in rows]
     row, count, xy = wkb.all_rings(column)
     got = {}
     for r, n, stop in zip(row.tolist(), count, np.cumsum(count)):
