@@ -40,6 +40,8 @@ EPOCHS, BATCH, RATE = (4, 4, 5), 1024, 0.3
 MIN_UPDATES, SLIP = 150, 0.2
 #: Scores from which the best sentence of a positive document, and any sentence, is taken for the language.
 GOOD, CLEAR = 0.3, 0.7
+#: How much the odds of a sentence may rise by its being in several documents of a kind.
+LIFT = 9.0
 THRESHOLD = 0.5
 
 #: Look-alike signs and the letters they stand for inside a word.
@@ -315,12 +317,18 @@ def _relabel(data: _Bags, kind_of: np.ndarray, score: np.ndarray) -> tuple[np.nd
     n, rows, docs = len(data), data.rows, data.docs
     positive = kind_of[docs, 1:].any(axis=1)
     has = np.bincount(rows[positive], minlength=n)
+    of_clean = np.bincount(rows[~positive], minlength=n)
     wins = np.zeros((n, len(KINDS)))
     for c in range(1, len(KINDS)):
         mine = np.flatnonzero(kind_of[docs, c] > 0)
-        order = mine[np.lexsort((rows[mine], -score[mine, c], docs[mine]))]
-        best = order[np.flatnonzero(np.diff(docs[order], prepend=-1))]
-        best = best[score[best, c] > GOOD]
+        # a sentence that other documents of the kind have too, and clean ones don't, counts for more
+        often = np.bincount(rows[mine], minlength=n)
+        lift = np.minimum((2 * often[rows[mine]] - 1) / (2 * of_clean[rows[mine]] + 1), LIFT)
+        odds = score[mine, c] / np.maximum(1 - score[mine, c], 1e-9) * lift
+        sure = odds / (1 + odds)
+        order = np.lexsort((rows[mine], -sure, docs[mine]))
+        best = order[np.flatnonzero(np.diff(docs[mine[order]], prepend=-1))]
+        best = mine[best[sure[best] > GOOD]]
         wins[:, c] += np.bincount(rows[best], minlength=n)
     clear = score[:, 1:].max(axis=1) > CLEAR
     clean = np.bincount(rows[~positive & ~clear], minlength=n)
