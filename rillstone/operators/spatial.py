@@ -67,8 +67,11 @@ def _cells(space: Workspace, places: DataFrame, n: int, radius: float) -> tuple[
         inside = cells.where("what = 0").where(F.col("cell").isin(list(crowded)))
         total = sum(crowded.values())
         more = _drawn(inside, total, min(MAX_PIVOTS - len(at), max(len(crowded), 2 * total // PER_CELL)))
+        both = np.unique(np.concatenate([at, more]), axis=0)
+        if len(both) == len(at):
+            return pivots, cells
         space.drop(cells)
-        at = np.unique(np.concatenate([at, more]), axis=0)
+        at = both
 
 
 def _points_to_cells(pivots: sphere.Pivots, radius: float):

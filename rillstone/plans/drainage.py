@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillstone.operators import boxes, compilation, delineation, hierarchy, network, snapping
+from rillstone.operators import boxes, compilation, delineation, hierarchy, network, rasters, snapping
 from rillstone.plans.data_quality import _P5, UP_SQL as _UP, _hierarchy
 from rillstone.sources.schemas import BOX
 from rillstone.sources.tables import table
@@ -226,6 +226,19 @@ def inherited(spark: SparkSession, d: str) -> DataFrame:
     return j.groupBy("id", "basin", "topology", "region").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(_CAND + " select outlet_id, id, rank from (select outlet_id, id, row_number() over (partition by outlet_id order by weight desc, m desc, dist, id) rank from k where weight is not null and not isnan(weight) and not isinf(weight)) where rank <= 3")
+def snap_ranked(spark: SparkSession, d: str) -> DataFrame:
+    c = _candidates(spark, d).where("weight is not null and not isnan(weight) and abs(weight) < float('inf')")
+    return snapping.ranked(c, 3).select("outlet_id", "id", "rank")
+
+
+@query("select distinct (bbox_miny::double + bbox_maxy) / 2 latitude, pow(0.01 * 111.32, 2) * cos(radians((bbox_miny::double + bbox_maxy) / 2)) km2 from catchments where abs((bbox_miny::double + bbox_maxy) / 2) <= 90 and not isnan(bbox_miny) and not isnan(bbox_maxy)")
+def pixel_areas(spark: SparkSession, d: str) -> DataFrame:
+    mid = (F.col("bbox_miny").cast("double") + F.col("bbox_maxy")) / 2
+    c = table(spark, d, "catchments", "bbox_miny", "bbox_maxy").where(F.abs(mid) <= 90).where("not isnan(bbox_miny) and not isnan(bbox_maxy)")
+    return c.select(mid.alias("latitude")).distinct().select("latitude", rasters.pixel_area_km2(F.col("latitude"), 0.01).alias("km2"))
+
+
 # ---- whole delineation: outlets at every fiftieth snap feature -----------------------------------------------------------
 
 
