@@ -224,7 +224,7 @@ def test_basins(spark, tmp_path):
         with pytest.raises(compilation.CompileError):
             compilation.chosen(found, **kw)
     assert compilation.complete(str(tmp_path), ["b01", "b03", "b04"], "f02") == {"b01": "fabric is f01", "b03": "lacks manifest.json", "b04": "no folder"}
-    assert compilation.fabric_code("basin_pfaf", 7) == "basin_pfaf07"
+    assert compilation.fabric_code("basin_", 7) == "basin_07"
     r = compilation.batch_summary(spark.createDataFrame([("a", "ok", 5, 1.5), ("b", "failed", None, 2.0), ("c", "skipped", None, None)], "basin string, status string, atoms long, seconds double")).first()
     assert tuple(r) == (3, 1, 1, 1, 5, 3.5)
 
