@@ -8,6 +8,8 @@ Method: footers first, chunk by chunk (a chunk is one column of one row group).
   chunk of one load that is wholly null, or holds one value by statistics and by a one-entry dictionary (so that no NaN
   hides behind the statistics), is answered from its footer. A file that has such chunks and others is read chunk by
   chunk, without the settled ones; a file without any is left to Spark's reader, with the profiled columns only.
+- A footer that can't be read (a store that pyarrow lacks, a broken file) settles nothing: by load its file, by column
+  its table is left to Spark's reader, which gives the values or fails. chunk_statistics lists the file with its error.
 
 The scan never sorts or collects a load: pass 1 counts rows by load and logarithmic bucket of the value, pass 2 counts
 exact values only in the buckets that hold a median or may hold a value of a large share. Both are map-side combined,
@@ -157,10 +159,10 @@ def _read_footers(columns: list[str], group: list[str], dictionaries: str):
             rows = []
             for uri in batch["path"]:
                 try:
-                    rows += _file_chunks(uri, columns, group, dictionaries)
-                except (OSError, ValueError, pa.ArrowException):
-                    continue  # no statistics: the file is scanned
-            yield pd.DataFrame(rows, columns=["path", "row_group", "column_name", *group, "n_rows", "n_null", "min_value", "max_value", "n_dictionary", "has_nan", "n_bytes", "dictionary"]).astype({"n_null": "Int64", "n_dictionary": "Int64", "has_nan": "boolean", **{g: "Int64" for g in group}})
+                    rows += [(*r, None) for r in _file_chunks(uri, columns, group, dictionaries)]
+                except (OSError, ValueError, pa.ArrowException) as e:
+                    rows += [(uri, None, c, *[None] * (len(group) + 8), f"{type(e).__name__}: {e}") for c in columns]
+            yield pd.DataFrame(rows, columns=["path", "row_group", "column_name", *group, "n_rows", "n_null", "min_value", "max_value", "n_dictionary", "has_nan", "n_bytes", "dictionary", "error"]).astype({"row_group": "Int32", "n_rows": "Int64", "n_null": "Int64", "n_dictionary": "Int64", "has_nan": "boolean", "n_bytes": "Int64", **{g: "Int64" for g in group}})
 
     return run
 
@@ -171,12 +173,13 @@ def chunk_statistics(df: DataFrame, columns: list[str], group: tuple[str, ...] =
     A group column is given where the row group holds one value of it, else null. n_dictionary and has_nan are given
     for chunks that are dictionary-encoded throughout: then n_dictionary is the exact number of distinct non-null
     values. dictionaries: those of chunks of "one load", "all" (then dictionary holds the values but NaN), or "none". n_bytes is
-    what reading the chunk would take.
+    what reading the chunk would take. A file whose footer can't be read has a row for each column, with nothing but its
+    path and error.
     """
     spark = df.sparkSession
     files = df.inputFiles()
     keys = "".join(f"{g} long, " for g in group)
-    schema = f"path string, row_group int, column_name string, {keys}n_rows long, n_null long, min_value double, max_value double, n_dictionary long, has_nan boolean, n_bytes long, dictionary array<double>"
+    schema = f"path string, row_group int, column_name string, {keys}n_rows long, n_null long, min_value double, max_value double, n_dictionary long, has_nan boolean, n_bytes long, dictionary array<double>, error string"
     listed = spark.createDataFrame(pd.DataFrame({"path": files}, dtype="str"), "path string").repartition(max(1, min(len(files), 2000)))
     return listed.mapInPandas(_read_footers(columns, list(group), dictionaries), schema)
 
@@ -199,9 +202,12 @@ def bucket(value: Column) -> Column:
     )
 
 
+def _pairs(columns: list[str]) -> Column:
+    return F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in columns])).alias("p")
+
+
 def _long(df: DataFrame, src: str, columns: list[str]) -> DataFrame:
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in columns])).alias("p")
-    return df.select("feed", "load_no", pairs).select(F.lit(src).alias("src_table"), "p.column_name", F.col("feed").cast("int").alias("feed"), F.col("load_no").cast("int").alias("load_no"), "p.v")
+    return df.select("feed", "load_no", _pairs(columns)).select(F.lit(src).alias("src_table"), "p.column_name", F.col("feed").cast("int").alias("feed"), F.col("load_no").cast("int").alias("load_no"), "p.v")
 
 
 def _read_chunks(group: list[str]):
@@ -263,7 +269,8 @@ def _parts(spark: SparkSession, tables: dict[str, tuple[DataFrame, list[str]]])
 
 def column_profile(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
     """src_table, column_name, n_rows, n_null, n_distinct, min_value, max_value of whole columns: from footers and
-    dictionaries, and from the values of those chunks that have no null count, no extrema or no whole dictionary.
+    dictionaries, and from the values of those chunks that have no null count, no extrema or no whole dictionary. A table
+    with a footer that can't be read is scanned instead.
 
     NaN is one distinct value and has no part in the range; -0.0 equals 0. Tables without rows give none.
     """
@@ -272,13 +279,14 @@ def column_profile(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
     for src, (df, columns) in tables.items():
         if not df.inputFiles():
             continue
-        chunks = Workspace(spark, "footers").cut(chunk_statistics(df, columns, (), "all"))
+        chunks, seen = Workspace(spark, "footers").counted(chunk_statistics(df, columns, (), "all"), failed=F.count("error"))
         enough = F.coalesce((F.col("n_null") == F.col("n_rows")) | (F.col("n_null").isNotNull() & F.col("n_dictionary").isNotNull() & (F.col("min_value").isNotNull() | F.col("has_nan"))), F.lit(False))
-        told = chunks.withColumn("enough", enough)
+        told = chunks.where(F.lit(not seen["failed"])).withColumn("enough", enough)
         value = lambda c: (F.col(c) + F.lit(0.0)).alias("v")
         candidates = told.where("enough").select("column_name", F.explode(F.concat("dictionary", F.when(F.col("has_nan"), F.array(F.lit(math.nan))).otherwise(F.array().cast("array<double>")))).alias("x")).select("column_name", value("x"), F.lit(0).cast("long").alias("n"))
         counts = told.where("enough").groupBy("column_name").agg(F.sum("n_rows").alias("n_rows"), F.sum("n_null").alias("n_null"), F.min("min_value").alias("lo"), F.max("max_value").alias("hi"))
-        read = read_chunks(told.where(~F.col("enough")), ()).select("column_name", value("v"), F.lit(1).cast("long").alias("n"))
+        values = df.select(_pairs(columns)).select("p.*") if seen["failed"] else read_chunks(told.where(~F.col("enough")), ())
+        read = values.select("column_name", value("v"), F.lit(1).cast("long").alias("n"))
         by_value = candidates.unionByName(read).groupBy("column_name", "v").agg(F.sum("n").alias("n"))
         real = F.when(~F.isnan("v"), F.col("v"))
         scanned = by_value.groupBy("column_name").agg(F.sum("n").alias("n_rows"), F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("n_null"), F.count("v").alias("n_distinct"), F.min(real).alias("lo"), F.max(real).alias("hi"))

@@ -3,6 +3,7 @@ import statistics
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
 
 from rillstone.operators import profile
 
@@ -94,5 +95,36 @@ def test_dictionary_gives_distinct_values(spark, tmp_path):
     assert profile.chunk_statistics(spark.read.parquet(plain), ["v"]).first().n_dictionary is None
 
 
+def test_unread_footers_lose_no_rows(spark, tmp_path):
+    path = write(tmp_path, [(1, 1, float(i % 7)) for i in range(100)] + [(1, 2, math.nan), (1, 2, -0.0), (1, 2, None)])
+    write(tmp_path, [(1, 3, 90.0)] * 50, file="same")
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.default.link./unread", f"file://{path}")
+    there, unread = spark.read.parquet(path), spark.read.parquet("viewfs:///unread")  # a store that Spark reads and pyarrow does not
+    (told,) = profile.column_profile({"t": (unread, ["v"])}).collect()
+    assert tuple(told) == ("t", "v", 153, 1, 9, 0.0, 90.0) == tuple(profile.column_profile({"t": (there, ["v"])}).first())
+    assert sorted(map(str, profile.full_profile({"t": (unread, ["v"])}).collect())) == sorted(map(str, profile.full_profile({"t": (there, ["v"])}).collect()))
+    assert {(r.path, r.row_group, r.n_rows, r.source) for r in profile.chunk_plan(unread, ["v"]).collect()} == {(f, None, None, "file") for f in unread.inputFiles()}
+    assert all(profile.chunk_plan(df, ["v"]).where("error is not null").count() == n for df, n in ((unread, 2), (there, 0)))
+
+
+def test_one_unread_footer_among_others(spark, tmp_path):
+    (tmp_path / "s").mkdir()
+    for file, values in (("a", ["1", "2", None]), ("b", ["1.5D", "7"])):  # Spark reads 1.5D as a number, Python does not
+        pq.write_table(pa.table({"feed": [1] * len(values), "load_no": [1] * len(values), "v": values}), tmp_path / "s" / f"{file}.parquet")
+    df = spark.read.parquet(str(tmp_path / "s"))
+    assert [r.error is None for r in profile.chunk_statistics(df, ["v"]).orderBy("path").collect()] == [True, False]
+    assert tuple(profile.column_profile({"t": (df, ["v"])}).first()) == ("t", "v", 5, 1, 4, 1.0, 7.0)
+
+
+def test_broken_files_fail(spark, tmp_path):
+    path = write(tmp_path, [(1, 1, 4.0)] * 50)
+    (tmp_path / "t" / "b.parquet").write_bytes(b"PAR1 no table PAR1")
+    df = spark.read.schema("feed int, load_no int, v float").parquet(path)
+    assert [r.n_rows for r in profile.chunk_plan(df, ["v"]).orderBy("path").collect()] == [50, None]
+    for run in (lambda: profile.column_profile({"t": (df, ["v"])}), lambda: profile.load_profile(spark, {"t": (df, ["v"])}), lambda: profile.full_profile({"t": (df, ["v"])})):
+        with pytest.raises(Exception, match="FAILED_READ_FILE"):
+            run().collect()
+
+
 def test_empty(spark, tmp_path):
     assert issues(spark, write(tmp_path, [])) == set()
